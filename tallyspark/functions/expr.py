@@ -58,7 +58,7 @@ def python_text(column: Column, type_name: str) -> Column:
         "%se%s%02d", mantissa, F.when(exponent < 0, "-").otherwise("+"), F.abs(exponent)
     )
     return (
-        F.when(~text.contains("E"), text)
+        F.when(column.isNull() | ~text.contains("E"), text)
         .when((size >= 1e-4) & (size < 1e16), plain)
         .otherwise(scientific)
     )

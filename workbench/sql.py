@@ -452,18 +452,335 @@ EVENTS = {
         left join e_after using (event_id, security_id)""",
 }
 
-EXPRESSIONS: dict[str, str] = {**RAW, **CLEAN, **ADJUSTED, **FLAGS, **GOLD, **EVENTS}
+def _f4(column: str) -> str:
+    return f"coalesce(printf('%.4f', {column}), 'null')"
+
+
+def _f6(column: str) -> str:
+    return f"coalesce(printf('%.6f', round({column}, 6)), 'null')"
+
+
+def _entries(**values: str) -> str:
+    """key=value pairs in key order, joined by semicolons."""
+    parts = [f"'{key}=' || coalesce({values[key]}, 'null')" for key in sorted(values)]
+    return " || ';' || ".join(parts)
+
+
+_MEASURES = (
+    "pre_event_return",
+    "post_event_return",
+    "event_day_return",
+    "position_change_around_event",
+    "exposure_change_around_event",
+)
+
+CORPUS = {
+    "k_breaks": f"""
+        select sha256(concat_ws('||', 'RECONCILIATION_BREAK_SUMMARY', account_id, security_id, position_date::varchar,
+                                break_reason_code)) as document_id,
+               'RECONCILIATION_BREAK_SUMMARY' as document_type, account_id, security_id, position_date,
+               null::date as event_date,
+               concat_ws(' ', 'Reconciliation break', account_id, '/', security_id, 'on', position_date::varchar) as title,
+               printf('Reconciliation break for %s / %s on %s.', account_id, security_id, position_date::varchar)
+                 || ' Expected position was ' || {_f4("expected_position")} || ', reported position was '
+                 || {_f4("reported_position")} || ', difference was ' || {_f4("position_difference")}
+                 || '. Break reason was ' || break_reason_code || '. Root cause reason was ' || root_cause_reason_code
+                 || '.' as text,
+               'gold.reconciliation_breaks' as sources,
+               {_entries(break_id="break_id", break_reason_code="break_reason_code",
+                         root_cause_reason_code="root_cause_reason_code", severity="severity",
+                         first_break_date="first_break_date::varchar",
+                         days_since_first_break="days_since_first_break::varchar",
+                         is_cascading_break="is_cascading_break::varchar")} as entries
+        from g_breaks""",
+    "k_events_full": f"""
+        select sha256(concat_ws('||', 'EVENT_WINDOW_SUMMARY', m.event_id, m.security_id, m.event_date::varchar)) as document_id,
+               'EVENT_WINDOW_SUMMARY' as document_type, null::varchar as account_id, m.security_id,
+               null::date as position_date, m.event_date,
+               concat_ws(' ', 'Event window', m.event_id, 'for', m.security_id, 'on', m.event_date::varchar) as title,
+               printf('Event-window metrics for %s (%s) for %s on %s.', m.event_id, e.event_type, m.security_id,
+                      m.event_date::varchar)
+                 || ' Pre-event return was ' || {_f6("pre_event_return")} || ', post-event return was '
+                 || {_f6("post_event_return")} || ', event-day return was ' || {_f6("event_day_return")}
+                 || '. Position change around event was ' || {_f4("position_change_around_event")}
+                 || ', exposure change was ' || {_f4("exposure_change_around_event")}
+                 || '. Window completeness status was ' || case when is_full_window then 'FULL' else 'PARTIAL' end || '.' as text,
+               'gold.event_window_metrics,silver.events_clean' as sources,
+               {_entries(event_id="m.event_id", event_type="e.event_type", event_summary="e.event_summary",
+                         window_completeness="case when is_full_window then 'FULL' else 'PARTIAL' end")} as entries,
+               {", ".join(_MEASURES)}
+        from e_metrics m left join c_filing_events e on e.event_id = m.event_id""",
+    "k_events": """
+        select document_id, document_type, account_id, security_id, position_date, event_date, title, text, sources, entries
+        from k_events_full""",
+    "k_quality": f"""
+        select sha256(concat_ws('||', 'TRADE_QUALITY_SUMMARY', account_id, security_id, position_date::varchar)) as document_id,
+               'TRADE_QUALITY_SUMMARY' as document_type, account_id, security_id, position_date, null::date as event_date,
+               concat_ws(' ', 'Trade quality flags', account_id, '/', security_id, 'on', position_date::varchar) as title,
+               printf('Trade quality summary for %s / %s on %s.', account_id, security_id, position_date::varchar)
+                 || printf(' Detected %d quality flags with types [%s].', flag_count, flag_types)
+                 || printf(' Trade count was %d, buy quantity was %.4f, sell quantity was %.4f.', coalesce(trade_count, 0),
+                           coalesce(buy_quantity, 0.0), coalesce(sell_quantity, 0.0))
+                 || ' Flag details: ' || flag_descriptions || '.' as text,
+               'silver.trade_quality_flags,silver.trades_clean' as sources,
+               {_entries(flag_types="flag_types", flag_count="flag_count::varchar",
+                         trade_count="coalesce(trade_count, 0)::varchar",
+                         buy_quantity="coalesce(buy_quantity, 0.0)::varchar",
+                         sell_quantity="coalesce(sell_quantity, 0.0)::varchar")} as entries
+        from (select account_id, security_id, flag_date as position_date, count(*) as flag_count,
+                     string_agg(distinct flag_type, ', ' order by flag_type) as flag_types,
+                     string_agg(distinct description, ' | ' order by description) as flag_descriptions
+              from s_flags group by 1, 2, 3)
+        left join (select account_id, security_id, trade_date as position_date, count(*) as trade_count,
+                          sum(case when side = 'BUY' then quantity else 0.0 end) as buy_quantity,
+                          sum(case when side = 'SELL' then quantity else 0.0 end) as sell_quantity
+                   from c_trades group by 1, 2, 3) using (account_id, security_id, position_date)""",
+    "k_corpus": "select * from k_breaks union all select * from k_events union all select * from k_quality",
+    "k_documents": """
+        select document_id, document_type, coalesce(account_id, '') as account_id, coalesce(security_id, '') as security_id,
+               coalesce(position_date::varchar, '') as position_date, coalesce(event_date::varchar, '') as event_date,
+               title, text, sources
+        from (select *, row_number() over (partition by document_id order by text) as seq from k_corpus)
+        where seq = 1""",
+    "k_questions": """
+        select sha256(query) as query_id, query from (
+          select printf('Why is %s %s broken on %s?', account_id, security_id, max(position_date)::varchar) as query
+          from g_breaks group by account_id, security_id
+          union all
+          select printf('What happened to %s on %s?', security_id, max(position_date)::varchar)
+          from g_breaks group by security_id
+          union all
+          select distinct 'Show event context for ' || lower(security_id) from g_breaks
+          union all
+          select distinct 'List duplicate trade flags of ' || lower(account_id) from g_breaks
+          union all
+          select 'Summarise all open breaks')""",
+    "k_parsed": r"""
+        select query_id, query,
+               upper(nullif(regexp_extract(query, '(?i)\b(ACC\d{3})\b', 1), '')) as account_id,
+               upper(nullif(regexp_extract(query, '(?i)\b(SEC\d{3})\b', 1), '')) as security_id,
+               nullif(regexp_extract(query, '\b(\d{4}-\d{2}-\d{2})\b', 1), '') as target_date
+        from k_questions""",
+}
+
+
+def _vector(text: str) -> str:
+    return f"""list_transform(range(64), lambda i: len(list_filter(
+        list_transform(regexp_extract_all(lower({text}), '[a-z0-9]+(?:[.-][a-z0-9]+)*'),
+                       lambda t: ('0x' || substr(md5(t), 1, 8))::bigint % 64),
+        lambda x: x = i))::float)"""
+
+
+RETRIEVAL = {
+    "n_vectors": f"select document_id, ({_vector('text')})::float[64] as vector from k_documents",
+    "n_sized": "select document_id, vector, array_inner_product(vector, vector)::double as size from n_vectors",
+    "n_queries": f"""
+        select query_id, vector, array_inner_product(vector, vector)::double as size
+        from (select query_id, ({_vector('query')})::float[64] as vector from k_questions)""",
+    "n_cut": """
+        select query_id, list_max(min(q.size + d.size - 2 * array_inner_product(q.vector, d.vector)::double, 15)) as cut
+        from n_queries q cross join n_sized d group by 1""",
+    "n_asked": "select * from n_queries join n_cut using (query_id)",
+    "n_near": """
+        select q.query_id, d.document_id, q.vector as a, d.vector as b, q.size + d.size as sizes
+        from n_asked q join n_sized d
+          on q.size + d.size - 2 * array_inner_product(q.vector, d.vector)::double <= q.cut""",
+    "n_ranked": """
+        select query_id, document_id, sizes - 2 * array_inner_product(a, b)::double as distance,
+               row_number() over (partition by query_id
+                                  order by sizes - 2 * array_inner_product(a, b)::double, document_id) as rank
+        from n_near qualify rank <= 15""",
+    "n_exact": """
+        select query_id, document_id, row_number() over (partition by query_id order by priority, document_id) as place
+        from (select q.query_id, d.document_id,
+                     case document_type when 'RECONCILIATION_BREAK_SUMMARY' then 0 when 'TRADE_QUALITY_SUMMARY' then 1
+                          when 'EVENT_WINDOW_SUMMARY' then 2 else 99 end as priority
+              from k_parsed q join k_documents d on d.account_id = q.account_id and d.security_id = q.security_id
+                and (d.position_date = q.target_date or d.event_date = q.target_date))
+        qualify place <= 5""",
+    "n_security": """
+        select q.query_id, d.document_id, row_number() over (partition by q.query_id order by d.document_id) as place
+        from k_parsed q join k_documents d on d.security_id = q.security_id
+        where q.account_id is null or q.target_date is null
+        qualify place <= 5""",
+    "n_candidates": """
+        select query_id, document_id, 0 as tier, place from n_exact
+        union all select query_id, document_id, 0, place from n_security
+        union all select query_id, document_id, 1, 0 from n_ranked""",
+    "n_evidence": """
+        select query_id, document_id, row_number() over (partition by query_id order by tier, place, document_id) as rank,
+               tier = 0 as is_exact
+        from (select query_id, document_id, min(tier) as tier, min(case when tier = 0 then place end) as place
+              from n_candidates group by 1, 2)
+        qualify rank <= 5""",
+}
+
+INVESTIGATION = {
+    "i_break": """
+        select q.query_id, b.* from k_parsed q
+        join (select *, row_number() over (partition by account_id, security_id, position_date
+                                           order by break_id, reported_position nulls first) as place from g_breaks) b
+          on b.account_id = q.account_id and b.security_id = q.security_id
+          and b.position_date = try_cast(q.target_date as date) and place = 1""",
+    "i_flags": """
+        select q.query_id, f.*, row_number() over (partition by q.query_id order by flag_type, flag_id) as rank
+        from k_parsed q join s_flags f
+          on (q.account_id is null or f.account_id = q.account_id)
+          and (q.security_id is null or f.security_id = q.security_id)
+          and (q.target_date is null or f.flag_date = try_cast(q.target_date as date))
+        qualify rank <= 20""",
+    "i_events": """
+        select q.query_id, m.event_id, m.security_id, m.event_date, e.event_type, e.event_summary, pre_event_return,
+               post_event_return, event_day_return, position_change_around_event, exposure_change_around_event,
+               is_full_window,
+               row_number() over (partition by q.query_id order by m.event_date, m.event_id) as rank
+        from k_parsed q join e_metrics m on m.security_id = q.security_id
+          and (q.target_date is null or abs(m.event_date - try_cast(q.target_date as date)) <= 5)
+        left join c_filing_events e on e.event_id = m.event_id
+        qualify rank <= 10""",
+    "i_packet": """
+        select q.query_id, q.query, q.account_id, q.security_id, q.target_date,
+               case when b.break_id is not null then
+                 printf('Structured break found and used as primary evidence. For %s / %s on %s, expected position was ',
+                        b.account_id, b.security_id, b.position_date::varchar)
+                 || coalesce(b.expected_position::varchar, 'None') || ', reported position was '
+                 || coalesce(b.reported_position::varchar, 'None') || ', and difference was '
+                 || coalesce(b.position_difference::varchar, 'None') || '. Break reason is ' || b.break_reason_code
+                 || ' with root cause ' || b.root_cause_reason_code || ' and severity ' || b.severity || '.'
+               else 'Structured break not found for parsed fields; investigation relies on retrieved evidence and any available quality/event context.'
+               end as summary,
+               b.break_id is not null as has_break,
+               coalesce(f.flag_count, 0) as flag_count, f.flags, coalesce(e.event_count, 0) as event_count, e.events,
+               d.evidence, d.titles,
+               'Deterministic workflow: regex parsing + direct parquet lookups + vector retrieval. | No LLM generation used; output is template-based. | '
+                 || case when d.is_exact then 'Exact metadata-filtered evidence found.' else 'Semantic retrieval fallback used.' end
+                 || case when b.break_id is not null then ' | Confidence higher because exact structured break row was found.'
+                         else ' | Confidence lower because no exact structured break row was found.' end as confidence_notes,
+               concat_ws(' | ',
+                 case when q.account_id is null then 'account_id not found in query; structured filters are partial.' end,
+                 case when q.security_id is null then 'security_id not found in query; structured filters are partial.' end,
+                 case when q.target_date is null then 'date not found in query; structured filters are partial.' end,
+                 case when b.break_id is null then 'structured break not found for parsed account/security/date.' end,
+                 case when f.flag_count is null then 'no matching trade quality flags found.' end,
+                 case when e.event_count is null then 'no nearby event-window context found for parsed security/date.' end)
+                 as missing_data_notes,
+               d.types, d.exact_ids, d.is_claimed
+        from k_parsed q
+        left join i_break b on b.query_id = q.query_id
+        left join (select query_id, count(*) as flag_count,
+                          string_agg(flag_type || ':' || affected_record_id, ';' order by rank) as flags
+                   from i_flags group by 1) f on f.query_id = q.query_id
+        left join (select query_id, count(*) as event_count, string_agg(event_id, ';' order by rank) as events
+                   from i_events group by 1) e on e.query_id = q.query_id
+        left join (select v.query_id, bool_or(v.is_exact) as is_exact, string_agg(v.document_id, ';' order by v.rank) as evidence,
+                          string_agg(d.title, ';' order by v.rank) as titles,
+                          string_agg(distinct d.document_type, ';' order by d.document_type) as types,
+                          string_agg(v.document_id, ';' order by v.rank) filter (where d.account_id = p.account_id
+                            and d.security_id = p.security_id
+                            and (d.position_date = p.target_date or d.event_date = p.target_date)) as exact_ids,
+                          false as is_claimed
+                   from n_evidence v join k_documents d using (document_id) join k_parsed p on p.query_id = v.query_id
+                   group by 1) d on d.query_id = q.query_id""",
+    "i_checks": """
+        select query_id, query, account_id, security_id, target_date,
+               has_break as structured_break_found,
+               exact_ids is not null as exact_evidence_found, coalesce(exact_ids, '') as matching_document_ids,
+               (not has_break or contains(types, 'RECONCILIATION_BREAK_SUMMARY'))
+                 and (flag_count = 0 or contains(types, 'TRADE_QUALITY_SUMMARY')) as evidence_type_coverage,
+               types as retrieved_types,
+               event_count = 0 and missing_data_notes <> '' as missing_data_coverage,
+               cast(event_count as int) as event_context_count,
+               case when missing_data_notes = '' then 0 else len(string_split(missing_data_notes, ' | ')) end::int
+                 as missing_data_notes_count,
+               case when has_break then 'LOW' else 'MEDIUM' end as unsupported_claim_risk
+        from i_packet""",
+    "i_scores": """
+        select *, round((structured_break_found::int + exact_evidence_found::int + evidence_type_coverage::int
+                         + missing_data_coverage::int + (unsupported_claim_risk = 'LOW')::int) / 5.0::double, 2) as groundedness_score
+        from i_checks""",
+}
+
+LEDGER = {
+    "l_calendar": """
+        select row_number() over (order by d) - 1 as day_index, d as trading_day
+        from (select unnest(generate_series(min(cast(o_orderdate as date)), max(cast(o_orderdate as date)), interval 1 day))::date as d
+              from orders)
+        where isodow(d) < 6""",
+    "l_pairs": """
+        select account_id, security_id, coalesce(max(quantity), 0.0) as baseline
+        from (select account_id, security_id, quantity from c_starting_positions
+              union all select account_id, security_id, null from c_trades) group by 1, 2""",
+    "l_signed": """
+        select account_id, security_id, trade_date, settlement_date,
+               case when side = 'BUY' then quantity else -quantity end as q from c_trades""",
+    "l_trade_basis": """
+        select p.account_id, p.security_id, c.trading_day as position_date, baseline, coalesce(net, 0.0) as net,
+               sum(coalesce(net, 0.0)) over (partition by p.account_id, p.security_id order by c.trading_day) as run
+        from l_pairs p cross join l_calendar c
+        left join (select account_id, security_id, trade_date as d, sum(q) as net from l_signed group by 1, 2, 3) a
+          on a.account_id = p.account_id and a.security_id = p.security_id and a.d = c.trading_day""",
+    "l_settle_basis": """
+        select p.account_id, p.security_id, c.trading_day as position_date, baseline, coalesce(net, 0.0) as net,
+               sum(coalesce(net, 0.0)) over (partition by p.account_id, p.security_id order by c.trading_day) as run
+        from l_pairs p cross join l_calendar c
+        left join (select account_id, security_id, settlement_date as d, sum(q) as net from l_signed group by 1, 2, 3) a
+          on a.account_id = p.account_id and a.security_id = p.security_id and a.d = c.trading_day""",
+    "l_near_events": """
+        select distinct e.security_id, w.trading_day as price_date
+        from (select distinct security_id, event_date from c_filing_events) e
+        join l_calendar c on c.trading_day = e.event_date
+        join l_calendar w on w.day_index between c.day_index - 5 and c.day_index + 5""",
+    "l_required": """
+        select security_id, trade_date as price_date from c_trades union select security_id, price_date from l_near_events""",
+    "l_manifest": "select * from r_injected_issues_manifest",
+    "l_reports": """
+        select account_id, security_id, position_date, min(reported_quantity) as q,
+               row_number() over (partition by account_id, security_id order by position_date) as seq
+        from c_reported_positions group by 1, 2, 3""",
+    "l_steps": """
+        select b.*, coalesce(a.net, 0.0) as net,
+               coalesce((select product(s.split_ratio) from v_splits s where s.security_id = b.security_id
+                         and s.effective_date <= b.position_date
+                         and s.effective_date > coalesce(p.position_date, date '0001-01-01')), 1.0) as ratio,
+               exists (select 1 from v_splits s where s.security_id = b.security_id
+                       and s.effective_date <= coalesce(p.position_date, date '0001-01-01')) as after_split
+        from l_reports b
+        left join l_reports p on p.account_id = b.account_id and p.security_id = b.security_id and p.seq = b.seq - 1
+        left join (select account_id, security_id, trade_date, sum(q) as net from l_signed group by 1, 2, 3) a
+          on a.account_id = b.account_id and a.security_id = b.security_id and a.trade_date = b.position_date""",
+    "l_walk": """
+        select account_id, security_id, position_date, seq, q * ratio as value from l_steps where seq = 1
+        union all
+        select s.account_id, s.security_id, s.position_date, s.seq,
+               case when s.after_split then (w.value + s.net) * s.ratio else s.q * s.ratio end
+        from l_walk w join l_steps s on s.account_id = w.account_id and s.security_id = w.security_id and s.seq = w.seq + 1""",
+}
+RECURSIVE = {"l_walk"}
+
+EXPRESSIONS: dict[str, str] = {
+    **RAW,
+    **CLEAN,
+    **ADJUSTED,
+    **FLAGS,
+    **GOLD,
+    **EVENTS,
+    **CORPUS,
+    **RETRIEVAL,
+    **INVESTIGATION,
+    **LEDGER,
+}
 
 
 def _needed(body: str) -> list[str]:
     found: list[str] = []
+    seen: set[str] = set()
 
     def visit(text: str) -> None:
         for name in re.findall(r"\b[a-z]_\w+\b", text):
-            if name in EXPRESSIONS and name not in found:
+            if name in EXPRESSIONS and name not in seen:
+                seen.add(name)
                 visit(EXPRESSIONS[name])
-                if name not in found:
-                    found.append(name)
+                found.append(name)
 
     visit(body)
     return found
@@ -474,5 +791,7 @@ def statement(body: str) -> str:
     names = _needed(body)
     if not names:
         return body
-    ctes = ",\n".join(f"{name} as materialized ({EXPRESSIONS[name]})" for name in names)
-    return f"with {ctes}\n{body}"
+    ctes = ",\n".join(
+        f"{name} as {'' if name in RECURSIVE else 'materialized '}({EXPRESSIONS[name]})" for name in names
+    )
+    return f"with {'recursive ' if RECURSIVE & set(names) else ''}{ctes}\n{body}"
