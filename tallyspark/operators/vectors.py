@@ -16,9 +16,9 @@ from tallyspark.functions.frames import top_rows
 DIMENSIONS = 64
 TOKEN = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 
-# Memory one task may spend on query vectors, and rows of one document block
-# where the queries do not fit.
-QUERY_BYTES = 8 * 1024 * 1024
+# Query vectors every task may hold, by number of values, and rows of one document
+# block where there are more.
+QUERY_VALUES = 1_000_000
 BLOCK_ROWS = 100_000
 # Distances held at once: query rows times document rows.
 CELLS = 4_000_000
@@ -197,24 +197,24 @@ def knn_topk(
     queries: DataFrame,
     documents: DataFrame,
     k: int,
+    dimensions: int = DIMENSIONS,
     metric: str = "l2",
-    query_bytes: int = QUERY_BYTES,
+    query_values: int = QUERY_VALUES,
 ) -> DataFrame:
     """The k nearest documents of every query: (query_id, document_id, distance, rank).
 
     Exact search; ``metric`` is l2 (squared), ip or cosine. Tables are
     (query_id, vector) and (document_id, vector). Queries are shared with all
-    tasks only when their size, which one bounded read checks, allows it;
+    tasks only when their number, which one bounded read checks, allows it;
     otherwise both sides are cut into blocks. Pairs never leave a task: what is
     shuffled is k rows per query and task.
     """
     asked = queries.select(F.col("query_id").cast("string"), "vector")
     stored = documents.select(F.col("document_id").cast("string"), "vector")
-    first = asked.first()
-    if first is None:
-        return queries.sparkSession.createDataFrame([], FOUND_SCHEMA + ", rank int")
-    query_rows = max(1, query_bytes // (8 * len(first["vector"])))
+    query_rows = max(1, query_values // dimensions)
     head = asked.limit(query_rows + 1).collect()
+    if not head:
+        return queries.sparkSession.createDataFrame([], FOUND_SCHEMA + ", rank int")
     if len(head) <= query_rows:
         found = _search_with_all_queries(head, stored, k, metric)
     else:

@@ -6,10 +6,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark import schemas
+from tallyspark.functions.frames import union_all
 from tallyspark.plans import jobs
 from tallyspark.session import shared_folder
 from workbench.views import RAW_TABLES, RawLedger
 
+QUESTIONS = "retrieval/questions"
+
+
+def _write_questions(lake: jobs.Lake) -> jobs.JobResult:
+    """One question per pair with a break, on its last break date, and vaguer ones per
+    security and per account."""
+    last = F.max("position_date").cast("string")
+    breaks = lake.read(schemas.GOLD_BREAKS).filter("position_date is not null")
+    pairs = breaks.groupBy("account_id", "security_id").agg(last.alias("day"))
+    securities = breaks.groupBy("security_id").agg(last.alias("day"))
+    accounts = breaks.select(F.lower("account_id").alias("account_id")).distinct()
+    texts = [
+        pairs.select(F.format_string("Why is %s %s broken on %s?", "account_id", "security_id", "day")),
+        securities.select(F.format_string("What happened to %s on %s?", "security_id", "day")),
+        securities.select(F.format_string("Show event context for %s", F.lower("security_id"))),
+        accounts.select(F.format_string("List duplicate trade flags of %s", "account_id")),
+        breaks.groupBy().agg(F.max(F.lit("Summarise all open breaks"))),
+    ]
+    table = union_all([part.toDF("query") for part in texts])
+    rows = lake.write(table.select(F.sha2("query", 256).alias("query_id"), "query"), QUESTIONS)
+    return jobs.JobResult({"questions": rows})
+
+
 LAYERS = {
     "raw": (None, None),
     "bronze": ("raw", jobs.run_bronze_ingestion),
@@ -18,6 +42,7 @@ LAYERS = {
     "events": ("positions", jobs.run_gold_event_window),
     "corpus": ("events", jobs.run_build_investigation_corpus),
     "vectors": ("corpus", jobs.run_build_vector_table),
+    "questions": ("positions", _write_questions),
 }
 
 
@@ -26,6 +51,13 @@ class LedgerLake(jobs.Lake):
         super().__init__(spark, shared_folder(spark))
         self.raw = RawLedger(spark, sf_dir)
         self.results: dict[str, jobs.JobResult] = {}
+        self._frames: dict[str, DataFrame] = {}
+
+    def read(self, relative: str) -> DataFrame:
+        """Each table is written once, so its DataFrame may be kept."""
+        if relative not in self._frames:
+            self._frames[relative] = super().read(relative)
+        return self._frames[relative]
 
     def ensure(self, layer: str) -> "LedgerLake":
         if layer in self.results:
@@ -62,26 +94,8 @@ class LedgerLake(jobs.Lake):
         return self.ensure("silver").silver(name)
 
     def questions(self) -> DataFrame:
-        """One question per pair with a break, on its last break date, and vaguer ones
-        per security and per account."""
-        last = F.max("position_date").cast("string")
-        breaks = self.breaks().filter("position_date is not null")
-        pairs = breaks.groupBy("account_id", "security_id").agg(last.alias("day"))
-        securities = breaks.groupBy("security_id").agg(last.alias("day"))
-        accounts = breaks.groupBy(F.lower("account_id").alias("account_id")).agg(F.max(F.lit(1)))
-        texts = [
-            pairs.select(
-                F.format_string("Why is %s %s broken on %s?", "account_id", "security_id", "day").alias("query")
-            ),
-            securities.select(F.format_string("What happened to %s on %s?", "security_id", "day")),
-            securities.select(F.format_string("Show event context for %s", F.lower("security_id"))),
-            accounts.select(F.format_string("List duplicate trade flags of %s", "account_id")),
-            breaks.groupBy().agg(F.max(F.lit("Summarise all open breaks"))),
-        ]
-        table = texts[0]
-        for part in texts[1:]:
-            table = table.union(part)
-        return table.select(F.sha2("query", 256).alias("query_id"), "query")
+        """The stored table of questions."""
+        return self.ensure("questions").read(QUESTIONS)
 
 
 _OPEN: dict[tuple[str, str], LedgerLake] = {}

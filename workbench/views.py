@@ -40,9 +40,12 @@ class RawLedger:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._frames: dict[str, DataFrame] = {}
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._frames[name]
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)()
