@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.frames import top_rows
 
+# The search functions travel to the executors by value, so the package need not
+# be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 DIMENSIONS = 64
 TOKEN = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 
@@ -20,6 +25,7 @@ TOKEN = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 # block where there are more.
 QUERY_VALUES = 1_000_000
 BLOCK_ROWS = 100_000
+BATCH_ROWS = 10_000
 # Distances held at once: query rows times document rows.
 CELLS = 4_000_000
 
@@ -131,13 +137,17 @@ class _Nearest:
             order = np.lexsort((names.astype(str), kept))[: self.k]
             self.found[at] = (kept[order], names[order])
 
-    def frame(self) -> pd.DataFrame:
+    def batch(self) -> pa.RecordBatch:
         rows = [
             (query, name, float(distance))
             for query, (kept, names) in zip(self.query_ids, self.found)
             for distance, name in zip(kept, names)
         ]
-        return pd.DataFrame(rows, columns=["query_id", "document_id", "distance"])
+        columns = zip(*rows) if rows else ([], [], [])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(column), field.type) for column, field in zip(columns, FOUND_ARROW)],
+            schema=FOUND_ARROW,
+        )
 
 
 def _matrix(column: pa.ListArray, rows: int) -> np.ndarray:
@@ -157,7 +167,7 @@ def _search_with_all_queries(queries: list, documents: DataFrame, k: int, metric
             if batch.num_rows:
                 ids = batch.column(0).to_numpy(zero_copy_only=False)
                 nearest.add(ids, _matrix(batch.column(1), batch.num_rows))
-        yield pa.RecordBatch.from_pandas(nearest.frame(), FOUND_ARROW, preserve_index=False)
+        yield nearest.batch()
 
     return documents.mapInArrow(search, FOUND_SCHEMA)
 
@@ -179,18 +189,17 @@ def _search_by_blocks(
     left = queries.withColumn("_q", block("query_id", query_blocks)).withColumn("_d", every(document_blocks))
     right = documents.withColumn("_d", block("document_id", document_blocks)).withColumn("_q", every(query_blocks))
 
-    def search(asked: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
-        if asked.empty or stored.empty:
-            return pd.DataFrame({"query_id": [], "document_id": [], "distance": []})
-        vectors = np.stack(asked["vector"].to_numpy()).astype(np.float64)
-        nearest = _Nearest(asked["query_id"].tolist(), vectors, k, metric)
-        stacked = np.stack(stored["vector"].to_numpy()).astype(np.float64)
-        ids = stored["document_id"].to_numpy(dtype=object)
-        for start in range(0, len(ids), 10_000):
-            nearest.add(ids[start : start + 10_000], stacked[start : start + 10_000])
-        return nearest.frame()
-
-    return left.groupBy("_q", "_d").cogroup(right.groupBy("_q", "_d")).applyInPandas(search, FOUND_SCHEMA)
+    def search(asked: pa.Table, stored: pa.Table) -> pa.Table:
+        nearest = _Nearest([], np.empty((0, 1)), k, metric)
+        if asked.num_rows:
+            vectors = _matrix(asked["vector"].combine_chunks(), asked.num_rows)
+            nearest = _Nearest(asked["query_id"].to_pylist(), vectors, k, metric)
+            for batch in stored.select(["document_id", "vector"]).to_batches(BATCH_ROWS):
+                ids = batch.column(0).to_numpy(zero_copy_only=False)
+                nearest.add(ids, _matrix(batch.column(1), batch.num_rows))
+        return pa.Table.from_batches([nearest.batch()])
+
+    return left.groupBy("_q", "_d").cogroup(right.groupBy("_q", "_d")).applyInArrow(search, FOUND_SCHEMA)
 
 
 def knn_topk(
