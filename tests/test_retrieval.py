@@ -148,5 +148,5 @@ def test_packets_and_scores(spark, table, questions, documents):
     assert scores["q1"].groundedness_score == 0.8 and scores["q1"].matching_document_ids == ["z1", "a1"]
     assert scores["q1"].unsupported_claim_risk == "LOW" and not scores["q1"].missing_data_coverage
     assert scores["q3"].unsupported_claim_risk == "MEDIUM" and scores["q3"].missing_data_coverage
-    assert not scores["q3"].evidence_type_coverage and scores["q3"].groundedness_score == 0.2
+    assert scores["q3"].evidence_type_coverage and scores["q3"].groundedness_score == 0.4
     assert scores["q3"].recommendation.startswith("Investigation packet needs manual review")
