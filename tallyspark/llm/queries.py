@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import bpe, dedup, packing, tokenfile
+from tallyspark.llm import bpe, ctw, dedup, ngram_join, packing, pii, quality, secret_scan, tokenfile, topk
+from tallyspark.llm.store import settle
+from tallyspark.llm.text import remainder
 from tallyspark.session import shared_folder
 
 
@@ -16,6 +18,58 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _told(spans: Column) -> Column:
+    """kind:start:end of each span, comma-joined in the given order."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def _digested(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in kinds],
+        F.sha2(_told(base), 256).alias("base_sha256"),
+        _told(F.col("spans")).alias("spans"),
+    )
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digested(pii.personal_data(documents(spark, sf_dir)), pii.KINDS)
+
+
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_groups(documents(spark, sf_dir))
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digested(secret_scan.scan(documents(spark, sf_dir)), secret_scan.KINDS[:3])
+
+
+QUALITY_THRESHOLD = 0.3
+
+
+def quality_model(spark: SparkSession, sf_dir: str, table: DataFrame) -> quality.Additive:
+    """Learned from the labelled rows that are not held out."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    known = labels.filter(remainder("doc_id") != 0).select("doc_id", F.col("quality").alias("label"))
+    return quality.train(table, known)
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = settle(quality.feature_table(documents(spark, sf_dir)))
+    scored = quality.score(table, quality_model(spark, sf_dir, table))
+    return scored.select(
+        "doc_id",
+        (remainder("doc_id") == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     coded = bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
@@ -28,6 +82,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score_documents(documents(spark, sf_dir), remainder("doc_id") == 1)
+
+
 def op7_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark)
     tokenfile.write_tokens(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), path)
@@ -37,6 +95,11 @@ def op7_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantize(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return topk.top_k(vectors.filter("vec_id % 20 = 0"), vectors, 20)
+
+
 def op9_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = dedup.exact_dedup(documents(spark, sf_dir))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -46,6 +109,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+OP8_SQL = r"""
+with v as (
+  select cast(vec_id as bigint) as vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as terms
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(cast(x as double)))) = 0
+), scored as (
+  select q.vec_id as query_id, d.vec_id as vec_id,
+    cast(list_sum(list_transform(list_zip(q.terms, d.terms), lambda p: p[1] * p[2])) as bigint) as score
+  from v q join v d on q.vec_id % 20 = 0 and q.vec_id <> d.vec_id
+), ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as place from scored
+)
+select query_id, cast(place as integer) as rank, vec_id, score from ranked where place <= 20
+"""
+
 OP9_SQL = r"""
 with rows as (
   select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as body from documents
@@ -57,10 +136,16 @@ from rows join groups using (body)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
+    "op2_ngram_join": op2_ngram_join,
+    "op3_secrets": op3_secrets,
+    "op4_quality": op4_quality,
     "op5_bpe": op5_bpe,
+    "op6_ctw": op6_ctw,
     "op7_tokenfile": op7_tokenfile,
+    "op8_topk": op8_topk,
     "op9_dedup": op9_dedup,
     "op10_packing": op10_packing,
 }
 
-ORACLES: dict[str, str] = {"op9_dedup": OP9_SQL}
+ORACLES: dict[str, str] = {"op8_topk": OP8_SQL, "op9_dedup": OP9_SQL}

@@ -6,7 +6,7 @@ A-Z lower-cased; equal words have equal 64-bit hashes wherever they stand.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -119,12 +119,14 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.large_binary()).to_pylist()]
 
 
-def in_blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches (text is column ``text``) that hold about ``limit`` bytes or one row."""
+def in_blocks(
+    batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES, text: str = "text"
+) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches whose texts hold about ``limit`` bytes, or of one row."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0)
+        lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0)
         total = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64) + 1)
         at = 0
         while at < batch.num_rows:
@@ -134,17 +136,6 @@ def in_blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> It
             at = end
 
 
-def per_block(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
-    """Apply ``make()``'s function to slices of bounded size; ``df`` needs a column ``text``."""
-
-    def run(batches):
-        each = make()
-        for part in in_blocks(batches):
-            yield each(part)
-
-    return df.mapInArrow(run, schema)
-
-
 def texts(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """Only id and text, the id as long."""
     return df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
