@@ -25,6 +25,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark.llm.store import settle
+
 # Parts that a hot text's groups are merged in before the last merge.
 SALTS = 64
 SPACES = "[\\x20\\x09-\\x0D]+"
@@ -57,15 +59,17 @@ def exact_dedup(
     docs: DataFrame, text: str = "text", id_column: str = "doc_id", digest: Callable[[Column], Column] = sha256
 ) -> DataFrame:
     """Every row of ``docs`` by id: ``doc_id, keep_id, group_size, kept, digest``."""
-    groups = text_groups(docs, text, id_column, digest)
-    groups = groups.withColumn("_texts", F.count(F.lit(1)).over(Window.partitionBy("_digest")))
+    texts_of = F.count(F.lit(1)).over(Window.partitionBy("_digest"))
+    groups = text_groups(docs, text, id_column, digest).withColumn("_texts", texts_of)
+    # The text goes on only where its digest does not tell it apart.
+    groups = settle(groups.withColumn("_text", F.when(F.col("_texts") > 1, F.col("_text"))))
     rows = docs.select(F.col(id_column).alias("doc_id"), normalized(F.col(text)).alias("_text")).withColumn(
         "_digest", digest(F.col("_text"))
     )
-    single = groups.filter("_texts = 1").select("_digest", "keep_id", "group_size", F.lit(True).alias("_found"))
-    found = rows.select("doc_id", "_digest").join(single, "_digest", "left")
+    single = groups.filter("_texts = 1").select("_digest", "keep_id", "group_size")
     result = ["doc_id", "keep_id", "group_size", F.expr("doc_id <=> keep_id").alias("kept"), F.col("_digest").alias("digest")]
-    # A digest with several texts: those rows, and only those, meet their group by text.
+    found = rows.select("doc_id", "_digest").join(single, "_digest").select(*result)
     shared = groups.filter("_texts > 1").select("_digest", "_text", "keep_id", "group_size")
-    told_apart = rows.join(shared, ["_digest", "_text"])
-    return found.filter("_found").select(*result).unionAll(told_apart.select(*result))
+    if shared.isEmpty():
+        return found
+    return found.unionAll(rows.join(shared, ["_digest", "_text"]).select(*result))
