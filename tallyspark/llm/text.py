@@ -97,7 +97,7 @@ def shingle_hashes(block: Block, width: int = 5) -> list[np.ndarray]:
     words, first = block.word_hashes()
     n = len(words)
     key = np.zeros(n, dtype=np.uint64)
-    for k in range(width):  # the words that follow, within the block
+    for k in range(min(width, n)):  # the words that follow, within the block
         key[: n - k] += mix(words[k:] + np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
     key = mix(key)
     out = []

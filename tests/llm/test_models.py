@@ -248,8 +248,9 @@ def test_base_spans_of_secrets(documents, odd_texts, sample):
     assert found == sorted(((i, base_secrets(t or "")) for i, t in rows), key=str)
 
 
-def test_network_finds_held_out_secrets_and_spares_the_rest(tables):
-    rows = secret_scan.labelled_windows(tables[0]).collect()
+def test_network_finds_held_out_secrets_and_spares_the_rest(spark, tables):
+    more = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = secret_scan.labelled_windows(more).collect()
     codes = np.frombuffer(b"".join(bytes(r["codes"]) for r in rows), dtype=np.uint8).reshape(-1, secret_scan.LENGTH)
     label = np.array([r["label"] for r in rows])
     order = np.random.default_rng(0).permutation(len(label))
