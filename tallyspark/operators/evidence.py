@@ -55,21 +55,32 @@ def security_evidence(parsed: DataFrame, documents: DataFrame, k: int) -> DataFr
     return asked.join(first, "security_id").select("query_id", "document_id", "place")
 
 
+EVIDENCE = "query_id string, document_id string, rank int, is_exact boolean"
+
+
 def hybrid_evidence(
-    parsed: DataFrame, documents: DataFrame, k: int = 5, order: str = "document_id"
+    parsed: DataFrame,
+    documents: DataFrame | None,
+    k: int = 5,
+    order: str = "document_id",
+    asked: DataFrame | None = None,
 ) -> DataFrame:
     """Up to k documents per question: (query_id, document_id, rank, is_exact).
 
     Exact evidence first; a question it leaves short is filled from the nearest
     3k texts. The fill goes by document id; pass ``order="distance"`` to fill by
-    nearness instead.
+    nearness instead. ``asked`` (query_id, vector) are the questions' vectors from
+    the model that made those of the documents. Without a table of documents there
+    is no evidence.
     """
+    if documents is None:
+        return parsed.sparkSession.createDataFrame([], EVIDENCE)
     exact = union_all(
         [exact_metadata_evidence(parsed, documents, k), security_evidence(parsed, documents, k)]
     )
     full = exact.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= k)
     short = parsed.join(full, "query_id", "left_anti")
-    nearest = knn_topk(query_vectors(short), documents, 3 * k)
+    nearest = knn_topk(query_vectors(short, asked), documents, 3 * k)
     fill_order = F.col("distance") if order == "distance" else F.lit(0.0)
     candidates = union_all(
         [
@@ -89,8 +100,16 @@ def hybrid_evidence(
     )
 
 
-def evidence_documents(evidence: DataFrame, documents: DataFrame) -> DataFrame:
+DOCUMENT = (
+    "document_id string, text string, document_type string, account_id string, security_id string, "
+    "position_date string, event_date string, title string, source_tables string"
+)
+
+
+def evidence_documents(evidence: DataFrame, documents: DataFrame | None) -> DataFrame:
     """The evidence rows with the texts and metadata of their documents."""
+    if documents is None:
+        documents = evidence.sparkSession.createDataFrame([], DOCUMENT)
     return evidence.join(documents.drop("vector"), "document_id").withColumn(
         "source_tables", parsed_source_tables("source_tables")
     )

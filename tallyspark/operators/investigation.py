@@ -142,30 +142,37 @@ def lookup_break(parsed: DataFrame, breaks: DataFrame) -> DataFrame:
 def lookup_flags(parsed: DataFrame, flags: DataFrame, limit: int = FLAG_LIMIT) -> DataFrame:
     """Flags that agree with whichever fields a question names, the first by type and id.
 
-    A field the question leaves out matches everything: each flag stands under
-    its own value and under the wildcard, so the match is an equi-join.
+    A field the question leaves out matches everything. Questions are told apart by
+    the fields they name; for each such mask that occurs, flags are matched on just
+    those fields, the others left null.
     """
     date = F.try_to_date("target_date")
     unusable = F.col("target_date").isNotNull() & date.isNull()
-    asked = parsed.filter(~unusable).select(
-        "query_id",
-        F.coalesce("account_id", F.lit(ANY)).alias("_account"),
-        F.coalesce("security_id", F.lit(ANY)).alias("_security"),
-        F.coalesce(date.cast("string"), F.lit(ANY)).alias("_date"),
+    fields = {"account_id": F.col("account_id"), "security_id": F.col("security_id"), "flag_date": date}
+    asked = parsed.filter(~unusable).select("query_id", *[value.alias(f"_{name}") for name, value in fields.items()])
+    keys = [f"_{name}" for name in fields]
+
+    def mask() -> Column:
+        bits = [F.when(F.col(key).isNotNull(), 1 << bit).otherwise(0) for bit, key in enumerate(keys)]
+        return sum(bits[1:], bits[0])
+
+    masked = asked.withColumn("_mask", mask())
+    # At most eight numbers, whatever the questions.
+    masks = masked.agg(F.collect_set("_mask")).scalar()
+    keyed = flags.withColumn("_mask", F.explode(masks)).withColumns(
+        {
+            f"_{name}": F.when(F.col("_mask").bitwiseAND(F.lit(1 << bit)) != 0, F.col(name))
+            for bit, name in enumerate(fields)
+        }
     )
-    keys = ["_account", "_security", "_date"]
-
-    def or_any(name: str) -> Column:
-        return F.explode(F.array_compact(F.array(F.col(name).cast("string"), F.lit(ANY))))
-
-    keyed = (
-        flags.withColumn("_account", or_any("account_id"))
-        .withColumn("_security", or_any("security_id"))
-        .withColumn("_date", or_any("flag_date"))
-        .join(asked.select(*keys).distinct(), keys, "left_semi")
+    wanted = masked.select("_mask", *keys).distinct()
+    same = [F.col(f"f.{key}").eqNullSafe(F.col(f"q.{key}")) for key in ("_mask", *keys)]
+    keyed = keyed.alias("f").join(wanted.alias("q"), same, "left_semi")
+    first = top_rows(keyed, ["_mask", *keys], [F.col("flag_type"), F.col("flag_id")], limit, "rank")
+    same = [F.col(f"f.{key}").eqNullSafe(F.col(f"q.{key}")) for key in ("_mask", *keys)]
+    return masked.alias("q").join(first.alias("f"), same).select(
+        "q.query_id", "f.rank", *[f"f.{name}" for name in FLAG_FIELDS]
     )
-    first = top_rows(keyed, keys, [F.col("flag_type"), F.col("flag_id")], limit, "rank")
-    return asked.join(first, keys).select("query_id", "rank", *FLAG_FIELDS)
 
 
 def lookup_event_context(
@@ -223,16 +230,19 @@ def investigation_packet(
     flags: DataFrame,
     metrics: DataFrame,
     events: DataFrame,
-    documents: DataFrame,
+    documents: DataFrame | None,
     k: int = 5,
+    asked: DataFrame | None = None,
 ) -> DataFrame:
     """One packet per question: summary, structured break, flags, event context,
-    evidence, and notes on confidence and missing data."""
+    evidence, and notes on confidence and missing data. Without a table of
+    documents the evidence is empty; ``asked`` (query_id, vector) are the
+    questions' vectors from the model that made those of the documents."""
     parsed = parse_query(queries)
     found_breaks = stringify_rows(lookup_break(parsed, breaks), "query_id")
     found_flags = stringify_rows(lookup_flags(parsed, flags), "query_id", "rank")
     found_events = stringify_rows(lookup_event_context(parsed, metrics, events), "query_id", "rank")
-    evidence = hybrid_evidence(parsed, documents, k)
+    evidence = hybrid_evidence(parsed, documents, k, asked=asked)
     parts = [
         found_breaks.select("query_id", F.struct(*BREAK_FIELDS).alias("structured_break")),
         _listed(found_flags, FLAG_FIELDS, "quality_flags"),

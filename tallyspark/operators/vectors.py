@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import sys
 from collections.abc import Iterator
 
@@ -21,13 +20,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 DIMENSIONS = 64
 TOKEN = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 
-# Query vectors every task may hold, by number of values, and rows of one document
-# block where there are more.
-QUERY_VALUES = 1_000_000
-BLOCK_ROWS = 100_000
-BATCH_ROWS = 10_000
-# Distances held at once: query rows times document rows.
-CELLS = 4_000_000
+# Groups that the documents are dealt into. A task holds the vectors of one group
+# while the questions pass, so documents / CELLS times their width must fit there.
+CELLS = 64
+# Distances held at once: question rows times document rows.
+DISTANCES = 2_000_000
 
 FOUND_SCHEMA = "query_id string, document_id string, distance double"
 FOUND_ARROW = pa.schema(
@@ -97,143 +94,170 @@ def vector_table(corpus: DataFrame, vectors: DataFrame | None = None) -> DataFra
     return described.withColumn("vector", term_vector("text"))
 
 
-def query_vectors(queries: DataFrame) -> DataFrame:
+def query_vectors(queries: DataFrame, vectors: DataFrame | None = None) -> DataFrame:
+    """Vectors of the questions: those given as (query_id, vector), else hashed terms."""
+    if vectors is not None:
+        return vectors.select("query_id", "vector").join(queries.select("query_id"), "query_id", "left_semi")
     return queries.select("query_id", term_vector("query").alias("vector"))
 
 
-def _distances(queries: np.ndarray, documents: np.ndarray, metric: str) -> np.ndarray:
-    inner = queries @ documents.T
-    if metric == "ip":
-        return 1.0 - inner
-    query_size = np.einsum("ij,ij->i", queries, queries)[:, None]
-    document_size = np.einsum("ij,ij->i", documents, documents)[None, :]
-    if metric == "cosine":
-        return 1.0 - inner / np.sqrt(query_size * document_size)
-    return np.maximum(query_size + document_size - 2.0 * inner, 0.0)
-
-
-class _Nearest:
-    """The k nearest documents per query seen so far, ties by document id."""
-
-    def __init__(self, query_ids: list[str], vectors: np.ndarray, k: int, metric: str):
-        self.query_ids, self.vectors, self.k, self.metric = query_ids, vectors, k, metric
-        self.found = [(np.empty(0), np.empty(0, dtype=object)) for _ in query_ids]
-
-    def add(self, ids: np.ndarray, documents: np.ndarray) -> None:
-        step = max(1, CELLS // len(ids))
-        for start in range(0, len(self.vectors), step):
-            block = self.vectors[start : start + step]
-            self._merge(start, ids, _distances(block, documents, self.metric))
-
-    def _merge(self, start: int, ids: np.ndarray, distances: np.ndarray) -> None:
-        for at, row in enumerate(distances, start):
-            kept, names = self.found[at]
-            limit = kept[-1] if len(kept) == self.k else np.inf
-            if len(row) > self.k:
-                limit = min(limit, np.partition(row, self.k - 1)[self.k - 1])
-            near = np.flatnonzero(row <= limit)
-            kept = np.concatenate([kept, row[near]])
-            names = np.concatenate([names, ids[near]])
-            order = np.lexsort((names.astype(str), kept))[: self.k]
-            self.found[at] = (kept[order], names[order])
-
-    def batch(self) -> pa.RecordBatch:
-        rows = [
-            (query, name, float(distance))
-            for query, (kept, names) in zip(self.query_ids, self.found)
-            for distance, name in zip(kept, names)
-        ]
-        columns = zip(*rows) if rows else ([], [], [])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(column), field.type) for column, field in zip(columns, FOUND_ARROW)],
-            schema=FOUND_ARROW,
-        )
-
+def _matrix(column: pa.ListArray, ids: list[str], width: int | None, what: str) -> np.ndarray:
+    """The vectors as rows; one of another width is an error that names it."""
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False)
+    width = int(sizes[0]) if width is None else width
+    other = np.flatnonzero(sizes != width)
+    if len(other):
+        at = int(other[0])
+        raise ValueError(f"{what} {ids[at]!r} has {int(sizes[at])} values, not {width}")
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(ids), width)
 
-def _matrix(column: pa.ListArray, rows: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows, -1)
 
+def _squares(rows: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", rows, rows)
 
-def _search_with_all_queries(queries: list, documents: DataFrame, k: int, metric: str) -> DataFrame:
-    """Every task holds the query vectors and reduces its documents to k per query."""
-    spark = documents.sparkSession
-    names = [row["query_id"] for row in queries]
-    vectors = np.array([row["vector"] for row in queries], dtype=np.float64)
-    shared = spark.sparkContext.broadcast((names, vectors))
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nearest = _Nearest(*shared.value, k, metric)
-        for batch in batches:
-            if batch.num_rows:
-                ids = batch.column(0).to_numpy(zero_copy_only=False)
-                nearest.add(ids, _matrix(batch.column(1), batch.num_rows))
-        yield nearest.batch()
-
-    return documents.mapInArrow(search, FOUND_SCHEMA)
-
-
-def _search_by_blocks(
-    queries: DataFrame, documents: DataFrame, k: int, metric: str, query_rows: int
-) -> DataFrame:
-    """Too many queries for one task: each block of queries meets each block of
-    documents in a task of its own, and every meeting leaves k rows per query."""
-    query_blocks = math.ceil(queries.count() / query_rows)
-    document_blocks = max(1, math.ceil(documents.count() / BLOCK_ROWS))
+def _estimates(queries: np.ndarray, documents: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distances by one matrix product, and how far each may be off."""
+    inner = queries @ documents.T
+    q, d = _squares(queries)[:, None], _squares(documents)[None, :]
+    unit = 8 * (queries.shape[1] + 4) * np.finfo(np.float64).eps
+    if metric == "l2":
+        return q + d - 2.0 * inner, unit * (q + d)
+    size = np.sqrt(q) * np.sqrt(d)
+    if metric == "ip":
+        return 1.0 - inner, unit * (size + 1.0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(size > 0, 1.0 - inner / size, 1.0), np.full_like(inner, 2 * unit)
 
-    def block(key: str, blocks: int) -> F.Column:
-        return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
 
-    def every(blocks: int) -> F.Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+def _exact(queries: np.ndarray, documents: np.ndarray, metric: str) -> np.ndarray:
+    """Distances row by row, the same whatever stands beside them."""
+    if metric == "l2":
+        return _squares(queries - documents)
+    inner = np.einsum("ij,ij->i", queries, documents)
+    if metric == "ip":
+        return 1.0 - inner
+    size = np.sqrt(_squares(queries)) * np.sqrt(_squares(documents))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(size > 0, 1.0 - inner / size, 1.0)
 
-    left = queries.withColumn("_q", block("query_id", query_blocks)).withColumn("_d", every(document_blocks))
-    right = documents.withColumn("_d", block("document_id", document_blocks)).withColumn("_q", every(query_blocks))
 
-    def search(asked: pa.Table, stored: pa.Table) -> pa.Table:
-        nearest = _Nearest([], np.empty((0, 1)), k, metric)
-        if asked.num_rows:
-            vectors = _matrix(asked["vector"].combine_chunks(), asked.num_rows)
-            nearest = _Nearest(asked["query_id"].to_pylist(), vectors, k, metric)
-            for batch in stored.select(["document_id", "vector"]).to_batches(BATCH_ROWS):
-                ids = batch.column(0).to_numpy(zero_copy_only=False)
-                nearest.add(ids, _matrix(batch.column(1), batch.num_rows))
-        return pa.Table.from_batches([nearest.batch()])
+def _nearest(
+    queries: np.ndarray, ids: np.ndarray, documents: np.ndarray, k: int, metric: str
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k nearest documents of each query: query rows, document rows, distances.
 
-    return left.groupBy("_q", "_d").cogroup(right.groupBy("_q", "_d")).applyInArrow(search, FOUND_SCHEMA)
+    The estimate only picks who may be among the k nearest, with room for its
+    error; those are measured directly and ordered by distance and id.
+    """
+    by_id = np.argsort(ids, kind="stable")
+    place = np.empty(len(ids), dtype=np.int64)
+    place[by_id] = np.arange(len(ids))
+    parts = []
+    step = max(1, DISTANCES // max(1, len(ids)))
+    for start in range(0, len(queries), step):
+        block = queries[start : start + step]
+        estimate, off = _estimates(block, documents, metric)
+        if len(ids) > k:
+            limit = np.partition(estimate + off, k - 1, axis=1)[:, k - 1 : k]
+            row, column = np.nonzero(estimate - off <= limit)
+        else:
+            row, column = (part.ravel() for part in np.indices(estimate.shape))
+        distance = _exact(block[row], documents[column], metric)
+        order = np.lexsort((place[column], distance, row))
+        row, column, distance = row[order], column[order], distance[order]
+        first = np.arange(len(row)) - np.searchsorted(row, row) < k
+        parts.append((row[first] + start, column[first], distance[first]))
+    return tuple(np.concatenate(part) for part in zip(*parts))
 
 
 def knn_topk(
     queries: DataFrame,
     documents: DataFrame,
     k: int,
-    dimensions: int = DIMENSIONS,
     metric: str = "l2",
-    query_values: int = QUERY_VALUES,
+    cells: int = CELLS,
 ) -> DataFrame:
     """The k nearest documents of every query: (query_id, document_id, distance, rank).
 
     Exact search; ``metric`` is l2 (squared), ip or cosine. Tables are
-    (query_id, vector) and (document_id, vector). Queries are shared with all
-    tasks only when their number, which one bounded read checks, allows it;
-    otherwise both sides are cut into blocks. Pairs never leave a task: what is
-    shuffled is k rows per query and task.
+    (query_id, vector) and (document_id, vector). Documents are dealt once into
+    ``cells`` groups by id; every group sees all queries, and what leaves it is k
+    rows per query. The result does not depend on ``cells``. Equal distances go
+    to the smaller document id. Rows without an id or a vector take no part; a
+    vector without direction (all zero) has cosine distance 1 to everything; a
+    vector of another width than the rest of its group, or with a null or
+    non-finite value, is an error that names it.
     """
-    asked = queries.select(F.col("query_id").cast("string"), "vector")
-    stored = documents.select(F.col("document_id").cast("string"), "vector")
-    query_rows = max(1, query_values // dimensions)
-    head = asked.limit(query_rows + 1).collect()
-    if not head:
-        return queries.sparkSession.createDataFrame([], FOUND_SCHEMA + ", rank int")
-    if len(head) <= query_rows:
-        found = _search_with_all_queries(head, stored, k, metric)
-    else:
-        found = _search_by_blocks(asked, stored, k, metric, query_rows)
+    usable = "vector is not null and {} is not null"
+
+    def side(df: DataFrame, name: str, cell: F.Column, asked: bool) -> DataFrame:
+        named = df.select(F.col(name).cast("string").alias("id"), F.col("vector").cast("array<double>"))
+        whole = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+        message = F.concat(F.lit(f"{name} "), F.col("id"), F.lit(" has a null or non-finite value"))
+        checked = F.when(whole, F.col("vector")).otherwise(F.raise_error(message).cast("array<double>"))
+        return named.filter(usable.format("id")).select(
+            cell.alias("cell"), F.lit(asked).alias("asked"), "id", checked.alias("vector")
+        )
+
+    def cell_of(name: str) -> F.Column:
+        return F.pmod(F.xxhash64(F.col(name)), F.lit(cells)).cast("int")
+
+    stored = side(documents, "document_id", cell_of("id"), False)
+    every = F.explode(F.sequence(F.lit(0), F.lit(cells - 1)))
+    asked = side(queries, "query_id", every, True)
+    # A group's documents come first, then its queries in batches.
+    meeting = (
+        stored.unionByName(asked)
+        .repartition(cells, "cell")
+        .sortWithinPartitions("cell", "asked", "id")
+    )
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, ids, vectors, cell = [], np.empty(0, dtype=object), np.empty((0, 0)), None
+        for batch in batches:
+            keys = 2 * batch.column("cell").to_numpy() + batch.column("asked").to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(edges[:-1], edges[1:]):
+                if a == b:
+                    continue
+                part = batch.slice(a, b - a)
+                if keys[a] // 2 != cell:
+                    cell, held, ids = keys[a] // 2, [], None
+                names = part.column("id").to_pylist()
+                if not keys[a] % 2:
+                    width = held[0][1].shape[1] if held else None
+                    held.append((names, _matrix(part.column("vector"), names, width, "document")))
+                    continue
+                if not held:
+                    continue
+                if ids is None:
+                    ids = np.array([name for names_, _ in held for name in names_], dtype=object)
+                    vectors = np.concatenate([rows for _, rows in held])
+                wanted = _matrix(part.column("vector"), names, vectors.shape[1], "query")
+                row, column, distance = _nearest(wanted, ids, vectors, k, metric)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([names[at] for at in row.tolist()], pa.string()),
+                        pa.array(ids[column].tolist(), pa.string()),
+                        pa.array(distance),
+                    ],
+                    schema=FOUND_ARROW,
+                )
+
+    found = meeting.mapInArrow(search, FOUND_SCHEMA)
     return top_rows(found, ["query_id"], [F.col("distance"), F.col("document_id")], k, "rank")
 
 
-def similarity_retriever(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
-    """The k nearest documents of every query text, with their metadata."""
-    nearest = knn_topk(query_vectors(queries), vectors, k).drop("distance")
+def similarity_retriever(
+    queries: DataFrame, vectors: DataFrame, k: int, asked: DataFrame | None = None
+) -> DataFrame:
+    """The k nearest documents of every query text, with distance, text and metadata.
+
+    ``asked`` (query_id, vector) are vectors of the queries from the model that
+    made those of the documents.
+    """
+    nearest = knn_topk(query_vectors(queries, asked), vectors, k)
     return nearest.join(vectors.drop("vector"), "document_id").withColumn(
         "source_tables", parsed_source_tables("source_tables")
     )

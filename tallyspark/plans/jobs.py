@@ -169,24 +169,39 @@ def run_build_vector_table(lake: Lake, vectors: DataFrame | None = None) -> JobR
     return JobResult({"vectors": lake.write(vector_table(corpus, vectors), schemas.VECTORS)})
 
 
-def query_vector_table(lake: Lake, queries: DataFrame, k: int = 5) -> DataFrame:
-    """Nearest documents with metadata for a table of (query_id, query)."""
-    return similarity_retriever(queries, lake.read(schemas.VECTORS), k)
+def _vectors(lake: Lake) -> DataFrame | None:
+    """The table of document vectors, if one was built."""
+    try:
+        return files.scan_first(lake.spark, [lake.path(schemas.VECTORS)])
+    except FileNotFoundError:
+        return None
 
 
-def run_investigation(lake: Lake, queries: DataFrame, k: int = 5) -> DataFrame:
-    """Packets for a table of (query_id, query)."""
+def query_vector_table(
+    lake: Lake, queries: DataFrame, k: int = 5, asked: DataFrame | None = None
+) -> DataFrame:
+    """Nearest documents with distance and metadata for a table of (query_id, query)."""
+    return similarity_retriever(queries, lake.read(schemas.VECTORS), k, asked)
+
+
+def run_investigation(
+    lake: Lake, queries: DataFrame, k: int = 5, asked: DataFrame | None = None
+) -> DataFrame:
+    """Packets for a table of (query_id, query); without document vectors the evidence is empty."""
     return investigation_packet(
         queries,
         lake.read(schemas.GOLD_BREAKS),
         lake.silver("flags"),
         lake.read(schemas.GOLD_EVENT_WINDOWS),
         lake.silver("filing_events"),
-        lake.read(schemas.VECTORS),
+        _vectors(lake),
         k,
+        asked,
     )
 
 
-def evaluate_investigation(lake: Lake, queries: DataFrame, k: int = 5) -> DataFrame:
+def evaluate_investigation(
+    lake: Lake, queries: DataFrame, k: int = 5, asked: DataFrame | None = None
+) -> DataFrame:
     """Packets for a table of questions, scored."""
-    return groundedness(run_investigation(lake, queries, k))
+    return groundedness(run_investigation(lake, queries, k, asked))

@@ -25,29 +25,72 @@ def brute(queries, documents, k, metric):
 
 
 @pytest.mark.parametrize("metric", ["l2", "ip", "cosine"])
-def test_nearest_by_both_ways(spark, metric):
+def test_nearest_whatever_the_cells(spark, metric):
     rng = random.Random(5)
     queries = [(f"q{i}", [float(rng.randint(1, 3)) for _ in range(4)]) for i in range(7)]
     documents = [(f"d{i:03d}", [float(rng.randint(1, 3)) for _ in range(4)]) for i in range(150)]
     documents += [(f"copy{i:03d}", documents[0][1]) for i in range(60)]
     q = spark.createDataFrame(queries, "query_id string, vector array<double>")
     d = spark.createDataFrame(documents, "document_id string, vector array<double>").repartition(5)
-    shared = vectors.knn_topk(q, d, 6, 4, metric)
-    blocks = vectors.knn_topk(q, d, 6, 4, metric, query_values=8)
     pick = lambda df: {(r.query_id, r.document_id, r["rank"]) for r in df.collect()}
-    assert "MapInArrow" in shared._jdf.queryExecution().toString()
-    assert "CoGroup" in blocks._jdf.queryExecution().toString()
-    if metric == "cosine":  # rounding may order equal distances differently
-        distances = lambda df: sorted((r.query_id, round(r.distance, 9)) for r in df.collect())
-        assert distances(shared) == distances(blocks)
-        return
-    assert pick(shared) == pick(blocks) == brute(queries, documents, 6, metric)
+    found = [vectors.knn_topk(q, d, 6, metric, cells=cells).cache() for cells in (1, 3, 50)]
+    rows = [sorted(tuple(r) for r in df.collect()) for df in found]
+    assert rows[0] == rows[1] == rows[2]
+    if metric != "cosine":  # there rounding may order equal distances otherwise than plain Python
+        assert pick(found[0]) == brute(queries, documents, 6, metric)
+
+
+def _nearest(spark, queries, documents, k, metric="l2"):
+    q = spark.createDataFrame(queries, "query_id string, vector array<double>")
+    d = spark.createDataFrame(documents, "document_id string, vector array<double>")
+    rows = vectors.knn_topk(q, d, k, metric, cells=2).collect()
+    return [(r.document_id, r.distance) for r in sorted(rows, key=lambda r: (r.query_id, r["rank"]))]
+
+
+def test_large_numbers_do_not_cancel(spark):
+    found = _nearest(spark, [("q", [1e8, 1.0])], [("near", [1e8, 1.0]), ("a", [1e8, 3.0]), ("b", [1e8, 2.0])], 2)
+    assert found == [("near", 0.0), ("b", 1.0)]
+
+
+def test_zero_vectors_stay_and_null_vectors_go(spark):
+    documents = [("zero", [0.0, 0.0]), ("same", [2.0, 2.0]), ("none", None), ("back", [-1.0, -1.0])]
+    found = _nearest(spark, [("q", [1.0, 1.0]), (None, [1.0, 1.0]), ("empty", None)], documents, 3, "cosine")
+    assert [name for name, _ in found] == ["same", "zero", "back"] and found[1][1] == 1.0
+
+
+@pytest.mark.parametrize("bad", [[1.0], [1.0, None], [float("nan"), 1.0]])
+def test_odd_vectors_are_named(spark, bad):
+    with pytest.raises(Exception, match="odd"):
+        _nearest(spark, [("q", [1.0, 1.0])], [("fine", [1.0, 2.0]), ("odd", bad)], 2)
+
+
+def test_building_a_search_starts_no_job(spark):
+    q = spark.createDataFrame([("q", "ACC001")], "query_id string, query string")
+    d = spark.createDataFrame([("d", [1.0] * 64)], "document_id string, vector array<float>")
+    spark.sparkContext.setJobGroup("building", "plan only")
+    vectors.knn_topk(vectors.query_vectors(q), d, 3)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("building") == []
+    spark.sparkContext.setJobGroup("after", "")
+
+
+def test_vectors_from_outside(spark):
+    text = ("document_type", "account_id", "security_id", "position_date", "event_date", "title", "source_tables")
+    d = spark.createDataFrame([("d1", [1.0] * 384), ("d2", [0.0] * 384)], "document_id string, vector array<double>")
+    d = d.withColumns({name: F.lit("") for name in (*text, "text")})
+    q = spark.createDataFrame([("q", "anything")], "query_id string, query string")
+    asked = spark.createDataFrame([("q", [0.9] * 384)], "query_id string, vector array<double>")
+    found = vectors.similarity_retriever(q, d, 1, asked).collect()
+    assert [(r.document_id, round(r.distance, 6)) for r in found] == [("d1", 3.84)]
+    assert "title" in found[0] and "source_tables" in found[0]
+    rows = evidence.hybrid_evidence(investigation.parse_query(q), d, 1, asked=asked).collect()
+    assert [(r.document_id, r.is_exact) for r in rows] == [("d1", False)]
 
 
 def test_no_queries(spark):
     q = spark.createDataFrame([], "query_id string, vector array<float>")
     d = spark.createDataFrame([("d", [1.0])], "document_id string, vector array<float>")
     assert vectors.knn_topk(q, d, 3).collect() == []
+    assert vectors.knn_topk(d.withColumnRenamed("document_id", "query_id"), q.withColumnRenamed("query_id", "document_id"), 3).collect() == []
 
 
 def test_term_vector_counts_tokens(spark):
@@ -150,3 +193,20 @@ def test_packets_and_scores(spark, table, questions, documents):
     assert scores["q3"].unsupported_claim_risk == "MEDIUM" and scores["q3"].missing_data_coverage
     assert scores["q3"].evidence_type_coverage and scores["q3"].groundedness_score == 0.4
     assert scores["q3"].recommendation.startswith("Investigation packet needs manual review")
+    # Without a table of documents the packet still answers.
+    bare = investigation.investigation_packet(questions, breaks, flags, metrics, events, None, 3)
+    got = {r.query_id: r for r in bare.collect()}
+    assert got["q1"].structured_break.expected_position == "5.0" and got["q1"].retrieved_evidence is None
+    assert "retrieval returned no evidence documents." in got["q1"].missing_data_notes
+    risks = {r.query_id: r.unsupported_claim_risk for r in grounding.groundedness(bare).collect()}
+    assert risks["q1"] == "LOW" and risks["q3"] == "HIGH"
+
+
+def test_a_literal_star_is_an_ordinary_value(spark, table, questions):
+    flags = table(
+        "flag_id string, flag_type string, account_id string, security_id string, flag_date date, severity string, "
+        "description string, affected_entity string, affected_record_id string",
+        [("f", "LATE", "*", "*", "2025-01-02", "H", "d", "trades", "T1"), ("n", "LATE", None, None, None, "H", "d", "trades", "T2")],
+    )
+    rows = investigation.lookup_flags(investigation.parse_query(questions), flags).collect()
+    assert sorted((r.query_id, r.affected_record_id) for r in rows) == [("q3", "T1"), ("q3", "T2"), ("q4", "T1"), ("q4", "T2")]
