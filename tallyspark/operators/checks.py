@@ -153,34 +153,42 @@ def detection_scorecard(manifest: DataFrame, flags: DataFrame, breaks: DataFrame
             ),
         ]
     )
-    anything = F.lit("*")
-
-    def key(*parts: Column) -> Column:
-        return F.concat_ws("|", *[F.coalesce(part.cast("string"), anything) for part in parts])
-
-    account, security, day = F.col("account_id"), F.col("security_id"), F.col("day")
-    places = F.array(
-        key(account, security, day),
-        key(anything, security, day),
-        key(account, security, anything),
-        key(anything, anything, anything),
-        F.concat(F.lit("trade|"), F.col("trade_id")),
+    places = ("account_id", "security_id", "day")
+    issues = manifest.select(
+        F.col("expected_detection_category").alias("category"),
+        "trade_id",
+        *[F.when(F.col("trade_id").isNull(), F.col(name)).alias(f"_{name}") for name in places[:2]],
+        F.when(F.col("trade_id").isNull(), F.col("issue_date").cast("string")).alias("_day"),
+    )
+    bits = [F.when(F.col(f"_{name}").isNotNull(), 1 << bit).otherwise(0) for bit, name in enumerate(places)]
+    by_trade = 1 << len(places)
+    issues = issues.withColumn(
+        "_mask", F.when(F.col("trade_id").isNotNull(), by_trade).otherwise(sum(bits[1:], bits[0]))
     )
+    # Which keys issues name: at most nine numbers, whatever the manifest.
+    masks = issues.agg(F.collect_set("_mask")).scalar()
+
+    def named(value: Column, bit: int) -> Column:
+        return F.when(F.col("_mask").bitwiseAND(F.lit(1 << bit)) != 0, value)
+
     found = (
-        detected.select("category", F.explode(F.array_compact(places)).alias("place"))
+        detected.withColumn("_mask", F.explode(masks))
+        .select(
+            "category",
+            "_mask",
+            *[named(F.col(name).cast("string"), bit).alias(f"_{name}") for bit, name in enumerate(places)],
+            named(F.col("trade_id"), len(places)).alias("trade_id"),
+        )
         .distinct()
         .withColumn("_found", F.lit(True))
     )
-    own = F.when(
-        F.col("trade_id").isNotNull(), F.concat(F.lit("trade|"), F.col("trade_id"))
-    ).otherwise(key(account, security, F.col("issue_date")))
-    issues = manifest.select(
-        F.col("expected_detection_category").alias("category"), own.alias("place")
-    )
+    keys = ("category", "_mask", "trade_id", *[f"_{name}" for name in places])
+    same = [F.col(f"i.{key}").eqNullSafe(F.col(f"f.{key}")) for key in keys]
     hits = F.count_if("_found")
     rows = F.count(F.lit(1))
     return (
-        issues.join(found, ["category", "place"], "left")
-        .groupBy("category")
+        issues.alias("i")
+        .join(found.alias("f"), same, "left")
+        .groupBy(F.col("i.category").alias("category"))
         .agg(rows.alias("issues"), hits.alias("found"), (rows - hits).alias("missed"))
     )

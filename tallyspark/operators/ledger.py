@@ -64,18 +64,43 @@ def expected_by_date_basis(
     )
 
 
+# The dates that trades may be counted on.
+BASES = ("trade_date", "settlement_date")
+
+
+def _both_bases(starting: DataFrame, trades: DataFrame, calendar: DataFrame) -> DataFrame:
+    return _pair_days(starting, trades, calendar, {f"net_{basis}": basis for basis in BASES})
+
+
+def expected_by_both_bases(starting: DataFrame, trades: DataFrame, calendar: DataFrame) -> DataFrame:
+    """``expected_by_date_basis`` for either date, told by ``basis``, out of one pass."""
+    first = calendar.agg(F.min("trading_day")).scalar()
+    start = F.when(F.col("position_date") == first, F.col("baseline")).otherwise(0.0)
+
+    def view(basis: str) -> F.Column:
+        net = F.col(f"net_{basis}")
+        return F.struct(
+            F.lit(basis).alias("basis"),
+            start.alias("starting_quantity"),
+            F.greatest(net, F.lit(0.0)).alias("buy_quantity"),
+            F.greatest(-net, F.lit(0.0)).alias("sell_quantity"),
+            F.round(F.col("baseline") + F.col(f"_run_net_{basis}"), 4).alias("expected_position"),
+        )
+
+    days = _both_bases(starting, trades, calendar)
+    return days.select(*CELL, F.explode(F.array(*map(view, BASES))).alias("_view")).select(*CELL, "_view.*")
+
+
 def timing_divergence(starting: DataFrame, trades: DataFrame, calendar: DataFrame) -> DataFrame:
     """Days on which the trade-date and the settlement-date view differ.
 
     Both views come out of the same pass, so they need no join.
     """
-    days = _pair_days(
-        starting, trades, calendar, {"net_trade": "trade_date", "net_settle": "settlement_date"}
-    )
+    days = _both_bases(starting, trades, calendar)
     return days.select(
         *CELL,
-        F.round(F.col("baseline") + F.col("_run_net_trade"), 4).alias("expected_position_trade"),
-        F.round(F.col("baseline") + F.col("_run_net_settle"), 4).alias("expected_position_settlement"),
+        F.round(F.col("baseline") + F.col("_run_net_trade_date"), 4).alias("expected_position_trade"),
+        F.round(F.col("baseline") + F.col("_run_net_settlement_date"), 4).alias("expected_position_settlement"),
     ).filter("expected_position_trade <> expected_position_settlement")
 
 
@@ -94,6 +119,9 @@ def starting_coverage_gaps(starting: DataFrame, trades: DataFrame) -> DataFrame:
     return trades.select(*PAIR).distinct().join(starting, list(PAIR), "left_anti")
 
 
+TRADE_ORDER = ("trade_date", "event_timestamp", "trade_id")
+
+
 def forward_split_prices(prices: DataFrame, corporate_actions: DataFrame) -> DataFrame:
     """Prices on and after a split divided by its ratio, rounded to four places."""
     ratios = daily_split_ratios(corporate_actions)
@@ -121,13 +149,15 @@ def forward_split_prices(prices: DataFrame, corporate_actions: DataFrame) -> Dat
 def forward_split_positions(
     reported: DataFrame, trades: DataFrame, corporate_actions: DataFrame
 ) -> DataFrame:
-    """Carry splits forward through reported positions.
+    """Carry splits forward through reported positions; every row and column stays.
 
     The first report on or after a split is multiplied by the ratio; each later
     one is its predecessor plus the day's net trades. With P the product of the
     ratios met so far, quantity / P grows by net / P(previous), so two running
-    windows over the pair give it without stepping row by row. One row per
-    account, security and date (the lowest quantity where reports differ).
+    windows over the pair give it without stepping row by row. Where one account,
+    security and date is reported more than once, the lowest quantity is the
+    report that is carried and the others stay as they are, as do rows without an
+    account or date.
     """
     splits = daily_split_ratios(corporate_actions).withColumnRenamed("_day", "position_date")
     affected = splits.select("security_id").distinct()
@@ -160,15 +190,22 @@ def forward_split_positions(
         F.col("_before").isNotNull(), F.coalesce("_net", F.lit(0.0)) / F.col("_before")
     )
     carried = F.round(F.col("_product") * F.sum(step).over(so_far), 4)
-    adjusted = days.select(*CELL, F.coalesce(carried, "reported_quantity").alias("reported_quantity"))
-    untouched = (
-        reported.join(affected, "security_id", "left_anti")
-        .groupBy(*CELL)
-        .agg(F.min("reported_quantity").alias("reported_quantity"))
+    changed = days.select(*CELL, carried.alias("_carried")).filter("_carried is not null")
+    others = [name for name in reported.columns if name not in (*CELL, "reported_quantity")]
+    of_day = Window.partitionBy(*CELL).orderBy(F.col("reported_quantity").asc_nulls_last(), *others)
+    rows = reported.withColumn("_place", F.row_number().over(of_day)).join(changed, list(CELL), "left")
+    quantity = F.when(F.col("_place") == 1, F.coalesce("_carried", "reported_quantity")).otherwise(
+        F.col("reported_quantity")
     )
-    return adjusted.unionByName(untouched)
+    return rows.withColumn("reported_quantity", quantity).select(*reported.columns)
 
 
 def canonical_trade_order(trades: DataFrame) -> DataFrame:
     """Trades in the order they happened, however the feed delivered them."""
-    return trades.orderBy("trade_date", "event_timestamp", "trade_id")
+    return trades.orderBy(*TRADE_ORDER)
+
+
+def trade_places(trades: DataFrame) -> DataFrame:
+    """Each trade's place in that order within its account, security and day; equal ones share it."""
+    day = Window.partitionBy("account_id", "security_id", "trade_date").orderBy(*TRADE_ORDER[1:])
+    return trades.withColumn("place", F.rank().over(day))

@@ -67,6 +67,35 @@ def test_forward_splits_match_a_step_by_step_walk(table, seed):
     assert {(r.account_id, r.security_id, str(r.position_date)): r.reported_quantity for r in got.collect()} == expected
 
 
+def test_forward_splits_keep_every_report(table):
+    schema = REPORTS + ", source_system string"
+    reports = [("A", "S", day(2), 5.0, "x"), ("A", "S", day(4), 7.0, "y"), ("A", "S", day(4), 6.0, "x"), ("A", "U", day(4), 1.0, "x"),
+               ("A", "U", day(4), 1.0, "x"), (None, "S", day(5), 3.0, "x"), ("A", "S", None, 4.0, "x")]
+    trades = table(TRADES, [("x", "A", "S", "BUY", 1.0, day(4), day(4))])
+    actions = table(ACTIONS, [("1", "S", "STOCK_SPLIT", day(4), 2.0)])
+    got = ledger.forward_split_positions(table(schema, reports), trades, actions)
+    assert got.columns == ["account_id", "security_id", "position_date", "reported_quantity", "source_system"]
+    assert sorted((r.reported_quantity, r.source_system) for r in got.collect()) == [
+        (1.0, "x"), (1.0, "x"), (3.0, "x"), (4.0, "x"), (5.0, "x"), (7.0, "y"), (12.0, "x")
+    ]
+
+
+def test_both_bases_are_the_single_views(table):
+    starting = table("account_id string, security_id string, position_date date, quantity double", [("A", "S", day(0), 10.0)])
+    trades = table(TRADES, [("x", "A", "S", "BUY", 3.0, day(1), day(4)), ("y", "A", "S", "SELL", 2.0, day(4), day(7))])
+    days = table("day_index int, trading_day date", [(i, day(n)) for i, n in enumerate((0, 1, 4, 5, 7))])
+    both = ledger.expected_by_both_bases(starting, trades, days).collect()
+    for basis in ledger.BASES:
+        single = ledger.expected_by_date_basis(starting, trades, days, basis)
+        assert sorted(tuple(r[c] for c in single.columns) for r in both if r.basis == basis) == sorted(map(tuple, single.collect()))
+
+
+def test_trade_places(table):
+    schema = "trade_id string, account_id string, security_id string, trade_date date, event_timestamp timestamp"
+    trades = table(schema, [("b", "A", "S", day(1), f"{day(1)} 10:00:00"), ("a", "A", "S", day(1), f"{day(1)} 10:00:00"), ("c", "A", "S", day(1), f"{day(1)} 09:00:00")])
+    assert {r.trade_id: r.place for r in ledger.trade_places(trades).collect()} == {"c": 1, "a": 2, "b": 3}
+
+
 def test_forward_split_prices(table):
     columns = "security_id string, price_date date, open_price double, high_price double, low_price double, close_price double"
     prices = table(columns, [("S", day(i), 9.0, 9.0, 9.0, 10.0) for i in (1, 4, 6)])
@@ -90,3 +119,18 @@ def test_scorecard(table):
     breaks = table("break_reason_code string, account_id string, security_id string, position_date date", [("QUANTITY_MISMATCH", "A", "S", day(2))])
     got = {r.category: (r.issues, r.found, r.missed) for r in checks.detection_scorecard(manifest, flags, breaks).collect()}
     assert got == {"DUPLICATE_TRADE": (2, 1, 1), "MISSING_PRICE": (1, 1, 0), "QUANTITY_MISMATCH": (1, 1, 0), "OUT_OF_ORDER": (1, 0, 1)}
+
+
+def test_scorecard_matches_every_shape_of_keys(table):
+    schema = "issue_id string, account_id string, security_id string, trade_id string, issue_date string, expected_detection_category string"
+    named = ("A", "S", day(1))
+    shapes = [[value if mask >> bit & 1 else None for bit, value in enumerate(named)] for mask in range(8)]
+    issues = [(f"hit{i}", a, s, None, d, "FOUND") for i, (a, s, d) in enumerate(shapes)]
+    issues += [("miss", "B", None, None, None, "FOUND"), ("star", "*", None, None, None, "FOUND"), ("t", None, None, "A", None, "FOUND")]
+    flags = table(
+        "flag_type string, account_id string, security_id string, flag_date date, affected_entity string, affected_record_id string",
+        [("FOUND", *named, "prices", "T1")],
+    )
+    breaks = table("break_reason_code string, account_id string, security_id string, position_date date", [])
+    got = checks.detection_scorecard(table(schema, issues), flags, breaks).collect()
+    assert [(r.category, r.issues, r.found, r.missed) for r in got] == [("FOUND", 11, 8, 3)]

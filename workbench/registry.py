@@ -33,6 +33,7 @@ from tallyspark.operators import (
 from tallyspark.plans import jobs
 from tallyspark.session import configure, shared_folder
 from tallyspark.sources import files
+from workbench.flaws import flawed, flawed_sql
 from workbench.lake import LedgerLake, lake_for
 from workbench.sql import statement
 from workbench.views import RawLedger
@@ -60,6 +61,14 @@ class Ledger:
     def factors(self) -> DataFrame:
         return splits.split_factors(self.clean("prices"), self.clean("corporate_actions"))
 
+    def flawed(self, name: str) -> DataFrame:
+        """A cleaned table and rows that break every rule of its check."""
+        return flawed(self.clean(name), name)
+
+    def manifest(self) -> DataFrame:
+        name = "injected_issues_manifest"
+        return flawed(self.raw.table(name), name)
+
     def folder(self) -> str:
         return shared_folder(self.spark)
 
@@ -402,72 +411,91 @@ def _rule(table: str, rule: str, record: str, source: str, condition: str) -> st
     )
 
 
-def _duplicate(table: str, record: str, source: str) -> str:
+def _duplicate(table: str, keys: tuple[str, ...], source: str) -> str:
     return (
-        f"select '{table}' as table_name, 'duplicate' as rule, {record} as record_id, count(*) as row_count "
-        f"from {source} group by 3 having count(*) > 1"
+        f"select '{table}' as table_name, 'duplicate' as rule, {_record(keys)} as record_id, count(*) as row_count "
+        f"from {source} where {' and '.join(f'{key} is not null' for key in keys)} group by 3 having count(*) > 1"
     )
 
 
-UNKNOWN = "security_id not in (select security_id from c_securities)"
-PRICE_KEY = "concat_ws('|', security_id, price_date::varchar)"
-POSITION_KEY = "concat_ws('|', account_id, security_id, position_date::varchar)"
+def _record(keys: tuple[str, ...]) -> str:
+    return "concat_ws('|', " + ", ".join(f"coalesce({key}::varchar, '')" for key in keys) + ")"
+
+
+def _checked(table: str, keys: tuple[str, ...], rules: dict[str, str], unique: tuple[str, ...] = ()) -> str:
+    source = flawed_sql(f"c_{table}", table)
+    parts = [_rule(table, rule, _record(keys), source, condition) for rule, condition in rules.items()]
+    return " union all ".join(parts + ([_duplicate(table, unique, source)] if unique else []))
+
+
+UNKNOWN = {"unknown_security": "coalesce(security_id, '') not in (select security_id from c_securities)"}
+POSITIVE = " and ".join(f"coalesce({name}_price > 0, false)" for name in ("open", "high", "low", "close"))
+PRICE_KEY = ("security_id", "price_date")
+POSITION_KEY = ("account_id", "security_id", "position_date")
+
+
+def _position_rules(quantity: str) -> dict[str, str]:
+    return UNKNOWN | {
+        "null_account_id": "account_id is null",
+        "invalid_date": "position_date is null",
+        "invalid_quantity": f"{quantity} is null",
+    }
+
 
 query(
     "check_securities",
-    " union all ".join(
-        [
-            _rule("securities", "null_security_id", "security_id", "c_securities", "security_id is null"),
-            _rule("securities", "null_ticker", "security_id", "c_securities", "ticker is null"),
-            _duplicate("securities", "security_id", "c_securities"),
-        ]
+    _checked(
+        "securities",
+        ("security_id",),
+        {"null_security_id": "security_id is null", "null_ticker": "ticker is null"},
+        ("security_id",),
     ),
-)(lambda t: checks.check_securities(t.clean("securities")))
+)(lambda t: checks.check_securities(t.flawed("securities")))
 query(
     "check_prices",
-    " union all ".join(
-        [
-            _rule("prices", "unknown_security", PRICE_KEY, "c_prices", UNKNOWN),
-            _rule("prices", "price_not_positive", PRICE_KEY, "c_prices", "least(open_price, low_price, high_price, close_price) <= 0"),
-            _rule("prices", "high_below_low", PRICE_KEY, "c_prices", "high_price < low_price"),
-            _duplicate("prices", PRICE_KEY, "c_prices"),
-        ]
+    _checked(
+        "prices",
+        PRICE_KEY,
+        UNKNOWN
+        | {
+            "invalid_date": "price_date is null",
+            "price_not_positive": f"not ({POSITIVE})",
+            "high_below_low": "high_price < low_price",
+        },
+        PRICE_KEY,
     ),
-)(lambda t: checks.check_prices(t.clean("prices"), t.clean("securities")))
+)(lambda t: checks.check_prices(t.flawed("prices"), t.clean("securities")))
 query(
     "check_trades",
-    " union all ".join(
-        [
-            _rule("trades", "null_trade_id", "trade_id", "c_trades", "trade_id is null"),
-            _rule("trades", "null_account_id", "trade_id", "c_trades", "account_id is null"),
-            _rule("trades", "invalid_side", "trade_id", "c_trades", "side not in ('BUY', 'SELL')"),
-        ]
+    _checked(
+        "trades",
+        ("trade_id",),
+        {
+            "null_trade_id": "trade_id is null",
+            "null_account_id": "account_id is null",
+            "invalid_side": "coalesce(side, '') not in ('BUY', 'SELL')",
+        },
     ),
-)(lambda t: checks.check_trades(t.clean("trades")))
+)(lambda t: checks.check_trades(t.flawed("trades")))
 query(
     "check_positions",
     " union all ".join(
-        [
-            _rule("starting_positions", "unknown_security", POSITION_KEY, "c_starting_positions", UNKNOWN),
-            _rule("reported_positions", "unknown_security", POSITION_KEY, "c_reported_positions", UNKNOWN),
-            _duplicate("starting_positions", POSITION_KEY, "c_starting_positions"),
-            _duplicate("reported_positions", POSITION_KEY, "c_reported_positions"),
-        ]
+        _checked(table, POSITION_KEY, _position_rules(quantity), POSITION_KEY)
+        for table, quantity in (("starting_positions", "quantity"), ("reported_positions", "reported_quantity"))
     ),
 )(
     lambda t: checks.check_positions(
-        t.clean("starting_positions"), t.clean("reported_positions"), t.clean("securities")
+        t.flawed("starting_positions"), t.flawed("reported_positions"), t.clean("securities")
     )
 )
 query(
     "check_events",
-    " union all ".join(
-        [
-            _rule("filing_events", "unknown_security", "event_id", "c_filing_events", UNKNOWN),
-            _rule("filing_events", "invalid_date", "event_id", "c_filing_events", "event_date is null"),
-        ]
+    _checked(
+        "filing_events",
+        ("event_id",),
+        UNKNOWN | {"null_event_id": "event_id is null", "invalid_date": "event_date is null"},
     ),
-)(lambda t: checks.check_events(t.clean("filing_events"), t.clean("securities")))
+)(lambda t: checks.check_events(t.flawed("filing_events"), t.clean("securities")))
 
 
 # --- split adjustment ----------------------------------------------------------------
@@ -876,13 +904,40 @@ for _name, _check, _shown in (
     ("eval_break_found", grounding.eval_break_found, "structured_break_found"),
     ("eval_type_coverage", grounding.eval_type_coverage, "evidence_type_coverage"),
     ("eval_missing_data", grounding.eval_missing_data, "missing_data_coverage"),
-    ("eval_claim_risk", grounding.eval_claim_risk, "unsupported_claim_risk"),
 ):
     query(_name, f"select query_id, {_shown} from i_checks")(
         lambda t, check=_check, shown=_shown: check(t.packets()).select("query_id", shown)
     )
 
 
+RISK_VARIANTS = ("as it is", "bare summary", "no evidence", "no evidence and break")
+
+
+@query(
+    "eval_claim_risk",
+    """select query_id, variant,
+              case when not broken and not shown and summary <> '' then 'HIGH'
+                   when broken and len(list_filter(break_values, lambda x: x <> '' and contains(summary, x))) > 0 then 'LOW'
+                   when not broken and shown and len(list_filter(evidence_values, lambda x: x <> '' and contains(summary, x))) > 0 then 'LOW'
+                   else 'MEDIUM' end as unsupported_claim_risk
+       from (select query_id, variant, case when variant = 'bare summary' then 'nothing to add' else summary end as summary,
+                    has_break and variant <> 'no evidence and break' as broken, evidence is not null and variant not like 'no %' as shown,
+                    break_values, evidence_values
+             from i_claims cross join (values ('as it is'), ('bare summary'), ('no evidence'), ('no evidence and break')) v(variant))""",
+)
+def _(t):
+    packets = t.packets().withColumn("variant", F.explode(F.array(*map(F.lit, RISK_VARIANTS))))
+    none = F.lit(None)
+    varied = packets.withColumns(
+        {
+            "summary": F.when(F.col("variant") == "bare summary", "nothing to add").otherwise(F.col("summary")),
+            "retrieved_evidence": F.when(F.col("variant").startswith("no "), none).otherwise(F.col("retrieved_evidence")),
+            "structured_break": F.when(F.col("variant") == "no evidence and break", none).otherwise(F.col("structured_break")),
+        }
+    )
+    return grounding.eval_claim_risk(varied).select("query_id", "variant", "unsupported_claim_risk")
+
+
 @query(
     "eval_exact_evidence", "select query_id, exact_evidence_found, matching_document_ids from i_checks"
 )
@@ -927,14 +982,7 @@ def _(t):
     ),
 )
 def _(t):
-    return _union(
-        [
-            ledger.expected_by_date_basis(
-                t.clean("starting_positions"), t.clean("trades"), t.calendar(), basis
-            ).select(F.lit(basis).alias("basis"), "*")
-            for basis in ("trade_date", "settlement_date")
-        ]
-    )
+    return ledger.expected_by_both_bases(t.clean("starting_positions"), t.clean("trades"), t.calendar())
 
 
 query(
@@ -986,7 +1034,12 @@ query(
 )(lambda t: ledger.forward_split_prices(t.clean("prices"), t.clean("corporate_actions")))
 query(
     "forward_split_positions",
-    f"select {CELL}, round(value, 4) as reported_quantity from l_walk",
+    f"""select r.account_id, r.security_id, r.position_date, r.source_system,
+               case when place = 1 then round(value, 4) else reported_quantity end as reported_quantity
+        from (select *, row_number() over (partition by {CELL} order by reported_quantity, source_system) as place
+              from c_reported_positions) r
+        left join l_walk w on w.account_id = r.account_id and w.security_id = r.security_id
+          and w.position_date = r.position_date""",
 )(
     lambda t: ledger.forward_split_positions(
         t.clean("reported_positions"), t.clean("trades"), t.clean("corporate_actions")
@@ -996,42 +1049,52 @@ ISSUE_KEY = "issue_type, affected_record_id, issue_date"
 query(
     "check_manifest_unique",
     f"select {ISSUE_KEY}, count(*) as row_count from l_manifest group by 1, 2, 3 having count(*) > 1",
-)(lambda t: checks.check_manifest_unique(t.raw.injected_issues_manifest()))
+)(lambda t: checks.check_manifest_unique(t.manifest()))
 query(
     "check_missing_price_targets",
-    """select issue_id, security_id, cast(issue_date as date) as price_date, 'not_required' as rule from l_manifest
-       where issue_type = 'MISSING_PRICE'
-         and (security_id, cast(issue_date as date)) not in (select (security_id, price_date) from l_near_events)""",
+    """select issue_id, security_id, cast(issue_date as date) as price_date,
+              case when coalesce(security_id, '') = '' or issue_date is null then 'missing_keys' else 'not_required' end as rule
+       from l_manifest m where issue_type = 'MISSING_PRICE' and not exists (
+         select 1 from l_required k where k.security_id = m.security_id and k.price_date = cast(m.issue_date as date))""",
 )(
     lambda t: checks.check_missing_price_targets(
-        t.raw.injected_issues_manifest(),
-        calendar.event_window_dates(t.clean("filing_events"), t.calendar()),
+        t.manifest(),
+        calendar.price_required_keys(t.clean("trades"), t.clean("filing_events"), t.calendar()),
     )
 )
 query("check_starting_coverage", GAPS)(
     lambda t: ledger.starting_coverage_gaps(t.clean("starting_positions"), t.clean("trades"))
 )
-query("canonical_trade_order", "select * from c_trades")(
-    lambda t: ledger.canonical_trade_order(t.clean("trades"))
-)
+query(
+    "canonical_trade_order",
+    """select *, cast(rank() over (partition by account_id, security_id, trade_date
+                                 order by event_timestamp, trade_id) as int) as place from c_trades""",
+)(lambda t: ledger.trade_places(ledger.canonical_trade_order(t.clean("trades"))))
+def _found_by_keys() -> str:
+    """One membership test for each set of keys that an issue may name."""
+    keys = {"account_id": "account_id", "security_id": "security_id", "issue_date": "day"}
+    cases = [
+        "when trade_id is not null then (expected_detection_category, trade_id) in "
+        "(select (flag_type, affected_record_id) from s_flags where affected_entity = 'trades')"
+    ]
+    for mask in range(8):
+        named = [name for bit, name in enumerate(keys) if mask >> bit & 1]
+        shape = " and ".join(f"{name} is {'not ' if name in named else ''}null" for name in keys)
+        ours = ", ".join(["expected_detection_category", *named])
+        theirs = ", ".join(["category", *(keys[name] for name in named)])
+        ours, theirs = (f"({ours})", f"({theirs})") if named else (ours, theirs)
+        cases.append(f"when {shape} then {ours} in (select {theirs} from l_detected)")
+    return "case " + " ".join(cases) + " end"
+
+
 query(
     "detection_scorecard",
-    """select expected_detection_category as category, count(*) as issues, count(*) filter (where is_found) as found,
+    f"""select category, count(*) as issues, count(*) filter (where is_found) as found,
               count(*) filter (where not is_found) as missed
-       from (select expected_detection_category,
-                    case when trade_id is not null then
-                      (expected_detection_category, trade_id) in (select (flag_type, affected_record_id) from s_flags)
-                    when account_id is not null then
-                      (expected_detection_category, account_id, security_id, issue_date) in
-                        (select (flag_type, account_id, security_id, flag_date::varchar) from s_flags
-                         union all select (break_reason_code, account_id, security_id, position_date::varchar) from g_breaks)
-                    else (expected_detection_category, security_id, issue_date) in
-                        (select (flag_type, security_id, flag_date::varchar) from s_flags
-                         union all select (break_reason_code, security_id, position_date::varchar) from g_breaks)
-                    end as is_found from l_manifest)
+       from (select expected_detection_category as category, {_found_by_keys()} as is_found from l_manifest)
        group by 1""",
 )(
     lambda t: checks.detection_scorecard(
-        t.raw.injected_issues_manifest(), t.silver("flags"), t.lake.breaks()
+        t.manifest(), t.silver("flags"), t.lake.breaks()
     )
 )

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from workbench.flaws import flawed_sql
+
 RAW = {
     "v_lines": """
         select l.*, n_regionkey + 1 as a, cast(substr(p_brand, 7) as int) as s,
@@ -565,10 +567,10 @@ CORPUS = {
 
 
 def _vector(text: str) -> str:
-    return f"""list_transform(range(64), lambda i: len(list_filter(
-        list_transform(regexp_extract_all(lower({text}), '[a-z0-9]+(?:[.-][a-z0-9]+)*'),
-                       lambda t: ('0x' || substr(md5(t), 1, 8))::bigint % 64),
-        lambda x: x = i))::float)"""
+    """Places are hashed once per text: the one-element list binds them."""
+    return f"""list_transform([list_transform(regexp_extract_all(lower({text}), '[a-z0-9]+(?:[.-][a-z0-9]+)*'),
+                                           lambda t: ('0x' || substr(md5(t), 1, 8))::bigint % 64)],
+        lambda places: list_transform(range(64), lambda i: len(list_filter(places, lambda x: x = i))::float))[1]"""
 
 
 RETRIEVAL = {
@@ -664,7 +666,7 @@ INVESTIGATION = {
                  case when f.flag_count is null then 'no matching trade quality flags found.' end,
                  case when e.event_count is null then 'no nearby event-window context found for parsed security/date.' end)
                  as missing_data_notes,
-               d.types, d.exact_ids, d.is_claimed
+               d.types, d.exact_ids
         from k_parsed q
         left join i_break b on b.query_id = q.query_id
         left join (select query_id, count(*) as flag_count,
@@ -677,10 +679,30 @@ INVESTIGATION = {
                           string_agg(distinct d.document_type, ';' order by d.document_type) as types,
                           string_agg(v.document_id, ';' order by v.rank) filter (where d.account_id = p.account_id
                             and d.security_id = p.security_id
-                            and (d.position_date = p.target_date or d.event_date = p.target_date)) as exact_ids,
-                          false as is_claimed
+                            and (d.position_date = p.target_date or d.event_date = p.target_date)) as exact_ids
                    from n_evidence v join k_documents d using (document_id) join k_parsed p on p.query_id = v.query_id
                    group by 1) d on d.query_id = q.query_id""",
+    "i_claims": """
+        select p.query_id, p.summary, p.has_break, p.evidence,
+               [coalesce(b.account_id::varchar, 'None'), coalesce(b.security_id::varchar, 'None'),
+                coalesce(b.position_date::varchar, 'None'), coalesce(b.expected_position::varchar, 'None'),
+                coalesce(b.reported_position::varchar, 'None'), coalesce(b.position_difference::varchar, 'None'),
+                coalesce(b.break_reason_code, 'None'), coalesce(b.root_cause_reason_code, 'None'),
+                coalesce(b.severity, 'None')] as break_values,
+               e.evidence_values
+        from i_packet p left join i_break b on b.query_id = p.query_id
+        left join (select v.query_id,
+                          flatten(list([coalesce(d.account_id, ''), coalesce(d.security_id, ''), coalesce(d.position_date, ''),
+                                        coalesce(d.event_date, ''), coalesce(d.document_type, ''), coalesce(d.title, '')]))
+                            as evidence_values
+                   from n_evidence v join k_documents d using (document_id) group by 1) e on e.query_id = p.query_id""",
+    "i_risk": """
+        select query_id,
+               case when not has_break and evidence is null and summary <> '' then 'HIGH'
+                    when len(list_filter(case when has_break then break_values else evidence_values end,
+                                         lambda x: x <> '' and contains(summary, x))) > 0 then 'LOW'
+                    else 'MEDIUM' end as risk
+        from i_claims""",
     "i_checks": """
         select query_id, query, account_id, security_id, target_date,
                has_break as structured_break_found,
@@ -692,8 +714,8 @@ INVESTIGATION = {
                cast(event_count as int) as event_context_count,
                case when missing_data_notes = '' then 0 else len(string_split(missing_data_notes, ' | ')) end::int
                  as missing_data_notes_count,
-               case when has_break then 'LOW' else 'MEDIUM' end as unsupported_claim_risk
-        from i_packet""",
+               risk as unsupported_claim_risk
+        from i_packet join i_risk using (query_id)""",
     "i_scores": """
         select *, round((structured_break_found::int + exact_evidence_found::int + evidence_type_coverage::int
                          + missing_data_coverage::int + (unsupported_claim_risk = 'LOW')::int) / 5.0::double, 2) as groundedness_score
@@ -732,7 +754,10 @@ LEDGER = {
         join l_calendar w on w.day_index between c.day_index - 5 and c.day_index + 5""",
     "l_required": """
         select security_id, trade_date as price_date from c_trades union select security_id, price_date from l_near_events""",
-    "l_manifest": "select * from r_injected_issues_manifest",
+    "l_manifest": f"select * from {flawed_sql('r_injected_issues_manifest', 'injected_issues_manifest')}",
+    "l_detected": """
+        select flag_type as category, account_id, security_id, flag_date::varchar as day from s_flags
+        union all select break_reason_code, account_id, security_id, position_date::varchar from g_breaks""",
     "l_reports": """
         select account_id, security_id, position_date, min(reported_quantity) as q,
                row_number() over (partition by account_id, security_id order by position_date) as seq
