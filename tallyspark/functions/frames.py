@@ -31,20 +31,27 @@ def repeat_rows(df: DataFrame, copies: str, ordinal: str) -> DataFrame:
     )
 
 
-def every_date(keys: DataFrame, dates: DataFrame, date: str) -> DataFrame:
-    """Each key row once per distinct date, a null date included.
+def calendar_of(dates: DataFrame, date: str) -> Column:
+    """All distinct dates of a column as one sorted array, a null date last.
 
-    The distinct dates are few whatever the data size (a calendar), so they
-    travel as one array literal and the key rows are written out in place:
-    no join and no shuffle of the dense result.
+    The distinct dates are bounded by the days of a calendar, whatever the data size,
+    so they travel as one literal.
     """
     day = F.col(date)
-    calendar = dates.select(day.cast("date").alias(date)).distinct().agg(
+    found = dates.select(day.cast("date").alias(date)).distinct().agg(
         F.when(
             F.max(day.isNull()), F.array_append(F.sort_array(F.collect_list(day)), F.lit(None).cast("date"))
         ).otherwise(F.sort_array(F.collect_list(day)))
     )
-    return keys.withColumn(date, F.explode(calendar.scalar()))
+    return found.scalar()
+
+
+def every_date(keys: DataFrame, dates: DataFrame, date: str) -> DataFrame:
+    """Each key row once per distinct date, a null date included.
+
+    The key rows are written out in place: no join and no shuffle of the dense result.
+    """
+    return keys.withColumn(date, F.explode(calendar_of(dates, date)))
 
 
 def asof(

@@ -199,46 +199,58 @@ def security_positions(positions: DataFrame, prices: DataFrame) -> DataFrame:
     )
 
 
-def _held(anchors: DataFrame, held: DataFrame, at: str, exact: bool) -> DataFrame:
-    return asof(
-        anchors,
-        held.withColumn("held_index", F.col("trading_day_index")),
-        by="security_id",
-        left_on=at,
-        right_on="trading_day_index",
-        take=("position_quantity", "close_price", "held_index"),
-        exact=exact,
+def _positions_around(anchors: DataFrame, held: DataFrame) -> DataFrame:
+    """The positions before and after each anchor, out of one ordered pass.
+
+    An anchor asks twice: at its own day, ahead of that day's position, and at the
+    last day of its window, behind it. What stands nearest in front answers.
+    """
+    index = F.col("event_trading_day_index")
+    asks = F.array(
+        F.struct(F.lit("before").alias("side"), index.alias("at"), F.lit(0).alias("turn")),
+        F.struct(F.lit("after").alias("side"), (index + RADIUS).alias("at"), F.lit(2).alias("turn")),
+    )
+    asked = anchors.select(*ANCHOR, F.explode(asks).alias("_ask")).select(*ANCHOR, "_ask.*")
+    known = held.filter("security_id is not null and trading_day_index is not null").select(
+        "security_id",
+        F.col("trading_day_index").alias("at"),
+        F.lit(1).alias("turn"),
+        F.struct("position_quantity", "close_price", F.col("trading_day_index").alias("held_index")).alias("_held"),
+    )
+    so_far = Window.partitionBy("security_id").orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, 0)
+    found = F.last("_held", ignorenulls=True).over(so_far)
+    within = F.col("_after.held_index") > index
+    return (
+        asked.unionByName(known, allowMissingColumns=True)
+        .withColumn("_held", found)
+        .filter("side is not null")
+        .groupBy(*ANCHOR)
+        .agg(*[F.max(F.when(F.col("side") == side, F.col("_held"))).alias(f"_{side}") for side in ("before", "after")])
+        .select(
+            *ANCHOR,
+            F.col("_before.position_quantity").alias("position_before_event"),
+            F.col("_before.close_price").alias("close_price_before"),
+            F.when(within, F.col("_after.position_quantity")).alias("position_after_event"),
+            F.when(within, F.col("_after.close_price")).alias("close_price_after"),
+        )
     )
 
 
 def position_before(anchors: DataFrame, held: DataFrame) -> DataFrame:
     """The last position strictly before the event's trading day."""
-    return _held(anchors, held, "event_trading_day_index", exact=False).select(
-        *ANCHOR,
-        F.col("position_quantity").alias("position_before_event"),
-        F.col("close_price").alias("close_price_before"),
-    )
+    return _positions_around(anchors, held).select(*ANCHOR, "position_before_event", "close_price_before")
 
 
 def position_after(anchors: DataFrame, held: DataFrame) -> DataFrame:
     """The furthest position after the event's trading day and at most five days on."""
-    last = anchors.withColumn("_last", F.col("event_trading_day_index") + RADIUS)
-    index = F.col("_last") - RADIUS
-    within = F.col("held_index") > index
-    return _held(last, held, "_last", exact=True).select(
-        "security_id",
-        index.alias("event_trading_day_index"),
-        F.when(within, F.col("position_quantity")).alias("position_after_event"),
-        F.when(within, F.col("close_price")).alias("close_price_after"),
-    )
+    return _positions_around(anchors, held).select(*ANCHOR, "position_after_event", "close_price_after")
 
 
 def exposure_metrics(anchors: DataFrame, held: DataFrame) -> DataFrame:
     """Positions and exposures around the event; a null part makes the result null."""
     before, after = F.col("position_before_event"), F.col("position_after_event")
     return (
-        position_before(anchors, held)
-        .join(position_after(anchors, held), list(ANCHOR))
+        _positions_around(anchors, held)
         .withColumns(
             {
                 "position_change_around_event": after - before,

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.functions.frames import every_date, repeat_rows, union_all
+from tallyspark.functions.frames import calendar_of, every_date, repeat_rows, union_all
 
 PAIR = ("account_id", "security_id")
 CELL = (*PAIR, "position_date")
@@ -31,6 +31,7 @@ MISMATCH = "QUANTITY_MISMATCH"
 MATCH = "MATCH"
 BREAK = "BREAK"
 
+# The columns of the reconstruction.
 POSITION_COLUMNS = (
     *CELL,
     "starting_quantity",
@@ -140,6 +141,34 @@ def _timeline() -> Window:
     return Window.partitionBy(*PAIR).orderBy("position_date", F.col("reported_position").asc_nulls_first())
 
 
+def _with_cells(rows: DataFrame, calendar: Column) -> DataFrame:
+    """The rows of each pair, its baseline on every row, and a cell for every date.
+
+    A pair exists where the baselines, trades or reports name it, not by flags
+    alone. One row of each pair writes its cells out after the rows are dealt by
+    pair, so pairs need no reading of their own.
+    """
+    pair = Window.partitionBy(*PAIR)
+    signal = F.col("_kind") == "signal"
+    first = (F.row_number().over(pair.orderBy(signal)) == 1) & ~signal
+    itself = F.array(F.lit(None).cast("date"))
+    values = [name for name in rows.columns if name not in (*CELL, "_base", "_kind")]
+    cell = F.col("_at") > 0
+    return (
+        rows.withColumn("starting_quantity", F.coalesce(F.max("_base").over(pair), F.lit(0.0)))
+        .withColumn("_days", F.when(first, F.concat(itself, calendar)).otherwise(itself))
+        .select("*", F.posexplode("_days").alias("_at", "_day"))
+        .select(
+            *PAIR,
+            F.when(cell, F.col("_day")).otherwise(F.col("position_date")).alias("position_date"),
+            "starting_quantity",
+            *[F.when(~cell, F.col(name)).alias(name) for name in values],
+            F.when(cell, F.lit("cell")).otherwise(F.col("_kind")).alias("_kind"),
+        )
+        .filter("_kind != 'pair'")
+    )
+
+
 def position_timeline(
     starting: DataFrame,
     trades: DataFrame,
@@ -152,14 +181,31 @@ def position_timeline(
     ``trades`` are the valid trades. ``_copies`` counts equal snapshots.
     """
     kind = F.col("_kind")
+    whole = F.lit(True)
+    for name in CELL:
+        whole = whole & F.col(name).isNotNull()
+
+    def facts(df: DataFrame, name: str) -> DataFrame:
+        """Rows that can meet a cell; others only tell that their pair exists."""
+        values = [column for column in df.columns if column not in CELL]
+        return df.select(
+            *CELL,
+            *[F.when(whole, F.col(column)).alias(column) for column in values],
+            F.when(whole, F.lit(name)).otherwise(F.lit("pair")).alias("_kind"),
+        )
+
+    known = F.col("account_id").isNotNull() & F.col("security_id").isNotNull()
     rows = [
-        position_scaffold(starting, trades, reported).withColumn("_kind", F.lit("cell")),
-        _complete_key(daily_trade_activity(trades)).withColumn("_kind", F.lit("fact")),
-        _complete_key(_snapshots(reported)).withColumn("_kind", F.lit("snapshot")),
+        starting.select(
+            *PAIR, F.when(known, _trade_quantity(starting)).alias("_base"), F.lit("pair").alias("_kind")
+        ),
+        facts(daily_trade_activity(trades), "fact"),
+        facts(_snapshots(reported), "snapshot"),
     ]
     if flags is not None:
-        rows.append(_complete_key(flag_signals(flags)).withColumn("_kind", F.lit("fact")))
+        rows.append(_complete_key(flag_signals(flags)).withColumn("_kind", F.lit("signal")))
     signals = list(SIGNALS.values()) if flags is not None else []
+    gathered = _with_cells(union_all(rows), calendar_of(_dates(starting, trades, reported), "position_date"))
 
     # Range frames: a row sees every row of its own date, whatever its kind.
     to_date = Window.partitionBy(*PAIR).orderBy("position_date")
@@ -169,10 +215,8 @@ def position_timeline(
         return F.sum(F.coalesce(F.col(name), F.lit(0.0))).over(to_date)
 
     return (
-        union_all(rows)
-        .withColumns(
+        gathered.withColumns(
             {
-                "starting_quantity": F.max("starting_quantity").over(to_date),
                 "cumulative_buy_quantity": running("daily_buy_quantity"),
                 "cumulative_sell_quantity": running("daily_sell_quantity"),
             }

@@ -56,15 +56,16 @@ def _finished(flags: DataFrame) -> DataFrame:
     )
 
 
-def repeated_trade_ids(trades: DataFrame) -> DataFrame:
-    """Trade ids on more than one row (a null id is no id)."""
-    return (
-        trades.filter(F.col("trade_id").isNotNull())
-        .groupBy("trade_id")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter("_rows > 1")
-        .select("trade_id", F.lit(True).alias("_repeated"))
-    )
+def repeated_trades(trades: DataFrame) -> DataFrame:
+    """The keys of trades whose id is on more than one row (a null id is no id).
+
+    Rows are counted by all the keys of a flag before ids are, so whole trades are
+    not shuffled by id.
+    """
+    keys = ("trade_id", "account_id", "security_id", "trade_date")
+    counted = trades.filter(F.col("trade_id").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    repeated = counted.groupBy("trade_id").agg(F.sum("_rows").alias("_rows")).filter("_rows > 1")
+    return counted.select(*keys).join(repeated.select("trade_id"), "trade_id", "left_semi")
 
 
 def flag_id_of(*keys: str) -> F.Column:
@@ -88,8 +89,6 @@ def trade_flags(
     shuffle, and only the survivors are hashed.
     """
     rows = trades
-    if "DUPLICATE_TRADE" in kinds:
-        rows = rows.join(repeated_trade_ids(trades), "trade_id", "left")
     if "UNKNOWN_SECURITY" in kinds or "MISSING_PRICE" in kinds:
         known = securities.select("security_id").distinct().withColumn("_known", F.lit(True))
         rows = rows.join(known, "security_id", "left")
@@ -99,20 +98,24 @@ def trade_flags(
             priced.withColumn("_priced", F.lit(True)), ["security_id", "trade_date"], "left"
         )
     conditions = {
-        "DUPLICATE_TRADE": lambda: F.col("_repeated"),
         "UNKNOWN_SECURITY": lambda: F.col("_known").isNull(),
         "MISSING_PRICE": lambda: F.col("_known") & F.col("_priced").isNull(),
         "INVALID_QUANTITY": lambda: F.coalesce(F.col("quantity") <= 0, F.lit(True)),
         "INVALID_PRICE": lambda: F.coalesce(F.col("execution_price") <= 0, F.lit(True)),
         "LATE_ARRIVING_TRADE": lambda: F.to_date("ingestion_timestamp") > F.col("trade_date"),
     }
-    raised = F.array_compact(F.array(*[F.when(conditions[kind](), F.lit(kind)) for kind in kinds]))
+    tests = [F.when(conditions[kind](), F.lit(kind)) for kind in kinds if kind in conditions]
+    raised = F.array_compact(F.array(*tests)) if tests else F.array().cast("array<string>")
     # Null and empty text give the same flag id, so they group together; whether a
     # real value was seen is kept beside.
     texts = ("trade_id", "account_id", "security_id")
+    keys = ("trade_date", *texts)
+    found = rows.select(F.explode(raised).alias("flag_type"), *keys)
+    if "DUPLICATE_TRADE" in kinds:
+        found = found.unionByName(repeated_trades(trades).select(F.lit("DUPLICATE_TRADE").alias("flag_type"), *keys))
     flagged = (
-        rows.select(
-            F.explode(raised).alias("flag_type"),
+        found.select(
+            "flag_type",
             F.col("trade_date").alias("flag_date"),
             *[F.coalesce(name, F.lit("")).alias(name) for name in texts],
             *[F.col(name).isNotNull().alias(f"_has_{name}") for name in texts],

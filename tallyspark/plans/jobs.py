@@ -88,7 +88,9 @@ def run_silver_cleaning(lake: Lake) -> JobResult:
         name: clean(name, lake.bronze(name)) for name, spec in schemas.TABLES.items() if spec.silver
     }
     actions = cleaned["corporate_actions"]
-    factors = splits.split_factors(cleaned["prices"], actions)
+    # Stored once: four tables are adjusted by it.
+    lake.write(splits.split_factors(cleaned["prices"], actions), schemas.SPLIT_FACTORS)
+    factors = lake.read(schemas.SPLIT_FACTORS)
     adjust = {
         "prices": splits.adjust_prices,
         "starting_positions": splits.adjust_starting_positions,

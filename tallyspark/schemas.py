@@ -81,6 +81,7 @@ TABLES = {
     )
 }
 
+SPLIT_FACTORS = "silver/split_factors"
 SILVER_FLAGS = "silver/trade_quality_flags"
 SILVER_EVENTS = ("silver/events_clean", "silver/filing_events_clean")
 GOLD_POSITIONS = "gold/position_reconstruction"

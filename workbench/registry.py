@@ -271,34 +271,30 @@ def _(t):
     )
 
 
-PRICE_JSON = " || ',' || ".join(
-    [f"'\"{name}\":\"' || {name} || '\"'" for name in ("security_id", "price_date")]
-    + [
-        f"'\"{name}\":' || {name}::varchar"
-        for name in ("open_price", "high_price", "low_price", "close_price", "volume")
-    ]
-)
-PRICE_HASH = f"sha256('{{' || {PRICE_JSON} || '}}')"
-ACTION_HASH = (
-    "sha256('{' || concat_ws(',', "
-    + ", ".join(
-        f"'\"{name}\":\"' || {name} || '\"'"
-        for name in ("corporate_action_id", "security_id", "action_type", "effective_date")
-    )
-    + ", '\"split_ratio\":' || split_ratio::varchar, '\"description\":\"' || description || '\"') || '}')"
-)
+def _record_hash(name: str) -> str:
+    """Hash of a raw record's JSON: text quoted, the rest plain, nulls left out."""
+    parts = []
+    for column in schemas.RAW_SCHEMAS[name].split(","):
+        field, kind = column.split()
+        value = f"'\"' || {field} || '\"'" if kind == "string" else f"{field}::varchar"
+        parts.append(f"'\"{field}\":' || {value}")
+    return f"sha256('{{' || concat_ws(',', {', '.join(parts)}) || '}}')"
+
+
+PRICE_HASH = _record_hash("prices")
 
 
 @query(
     "raw_record_hash",
-    f"select 'prices' as dataset, {PRICE_HASH} as _raw_record_hash from r_prices "
-    f"union all select 'corporate_actions', {ACTION_HASH} from r_corporate_actions",
+    " union all ".join(
+        f"select '{name}' as dataset, {_record_hash(name)} as _raw_record_hash from r_{name}" for name in schemas.TABLES
+    ),
 )
 def _(t):
     return _union(
         [
             bronze.raw_record_hash(t.raw.table(name)).select(F.lit(name).alias("dataset"), "_raw_record_hash")
-            for name in ("prices", "corporate_actions")
+            for name in schemas.TABLES
         ]
     )
 
