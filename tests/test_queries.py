@@ -1,6 +1,7 @@
 """Queries beside their SQL twins. All of them: TALLY_ALL=1, on $TALLY_DIR."""
 
 import os
+import sys
 
 import pytest
 
@@ -46,3 +47,11 @@ def test_entry(spark):
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLES)
     assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+@pytest.mark.parametrize("missing", ["tallyspark.llm", "corpus_pipeline"])
+def test_contract_without_the_training_data_part(monkeypatch, missing):
+    monkeypatch.setitem(sys.modules, missing, None)
+    monkeypatch.delitem(sys.modules, "tallyspark.llm.queries", raising=False)
+    assert set(QUERIES) <= set(contract.queries()) and "pipeline" not in contract.queries()
+    assert set(contract.oracle_sql()) >= set(ORACLES)
