@@ -12,7 +12,7 @@ import sys
 import time
 
 from tallyspark.session import local_session
-from workbench.lake import LAYERS, lake_for
+from workbench.lake import LAYERS, drop_lakes, lake_for
 from workbench.registry import QUERIES
 
 HEADLINES = (
@@ -64,6 +64,7 @@ def main(names: tuple[str, ...]) -> None:
             name,
             lambda: QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save(),
         )
+    drop_lakes(spark)
     total = round(sum(timings.values()), 3)
     print(
         json.dumps(

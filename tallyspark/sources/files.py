@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.schemas import CORRUPT_RECORD
+from tallyspark.session import drop_folder, shared_folder
 
 
 def _missing(error: AnalysisException) -> bool:
@@ -59,11 +60,20 @@ def sink_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def sink_jsonl(df: DataFrame, path: str, order: Sequence[str] = ()) -> int:
-    """Overwrite a folder of JSON lines, range-sorted over its files."""
+    """Overwrite a folder of JSON lines, range-sorted over its files.
+
+    A range sort reads its input twice, first to sample it; so sorted rows are
+    computed once into a table of their own and sorted from there.
+    """
+    if order:
+        spark = df.sparkSession
+        staged = shared_folder(spark)
+        rows = sink_parquet(df, staged)
+        scan_parquet(spark, staged).orderBy(*order).write.mode("overwrite").json(path)
+        drop_folder(spark, staged)
+        return rows
     seen = Observation()
-    rows = df.orderBy(*order) if order else df
-    # Above the sort: its sampling pass must not count.
-    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").json(path)
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").json(path)
     return seen.get["rows"]
 
 

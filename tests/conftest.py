@@ -6,6 +6,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from tallyspark.session import local_session  # noqa: E402
+from workbench.lake import drop_lakes  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -13,6 +14,7 @@ def spark():
     session = local_session("tests", cores="8", shuffle_partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_lakes(session)
     session.stop()
 
 

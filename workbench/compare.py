@@ -12,6 +12,7 @@ import time
 import duckdb
 
 from tallyspark.session import local_session
+from workbench.lake import drop_lakes
 from workbench.registry import ORACLES, QUERIES
 
 TABLES = (
@@ -74,6 +75,7 @@ def main() -> None:
             problem = f"{type(error).__name__}: {str(error)[:300]}"
         bad += problem is not None
         print(f"{'ok ' if problem is None else 'BAD'} {name} {time.time() - start:.1f}s {problem or ''}", flush=True)
+    drop_lakes(spark)
     print(f"{len(names) - bad} of {len(names)} equal")
 
 

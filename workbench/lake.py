@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyspark import schemas
 from tallyspark.functions.frames import union_all
 from tallyspark.plans import jobs
-from tallyspark.session import shared_folder
+from tallyspark.session import drop_folder, shared_folder
 from workbench.views import RAW_TABLES, RawLedger
 
 QUESTIONS = "retrieval/questions"
@@ -106,3 +106,9 @@ def lake_for(spark: SparkSession, sf_dir: str) -> LedgerLake:
     if key not in _OPEN:
         _OPEN[key] = LedgerLake(spark, sf_dir)
     return _OPEN[key]
+
+
+def drop_lakes(spark: SparkSession) -> None:
+    """Remove the stored layers of this session."""
+    for key in [key for key in _OPEN if key[0] == spark.sparkContext.applicationId]:
+        drop_folder(spark, _OPEN.pop(key).root)
