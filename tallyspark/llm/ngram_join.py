@@ -13,7 +13,7 @@ its sets go on, so nothing is lost. Equal sets are one class and are published o
 Within a bucket of equal signatures the members are first compared with the least one and with the
 one before; whatever is then connected needs no further comparison. Members of large buckets that
 stay apart leave those buckets if their remaining segments suffice, and the rest are compared with
-eight members at a time until every bucket is connected or compared. Comparison is exact on the
+some members at a time, twice as many in each round, until every bucket is connected or compared. Comparison is exact on the
 whole sets (of 64-bit shingle hashes).
 
 Defined cases: null and empty texts, and texts without words, have no shingles and are linked with
@@ -41,14 +41,16 @@ from tallyspark.llm.text import Block, as_bytes, in_blocks, mix, shingle_hashes,
 SIMILARITY = 80
 # Re-hashings of sets whose segments do not suffice; who needs still more meets in one bucket a band.
 LEVELS = 16
-# Members of a bucket that are compared with all others in one round.
-LEADERS = 8
+# Members of a bucket that meet at once; larger buckets are cut into such blocks.
+MEET = 1024
+# Bits of a sketch, about one for each token.
+SKETCH_BITS = (64, 1024)
 # Buckets of more members are left by whoever can do without them.
 LARGE = 64
 # Bits of the id filter in front of the second scan (8 MB whatever the data).
 FILTER_BITS = 26
 
-DESCRIBED = "doc_id long, n long, d1 long, d2 long, band int, spare long, spare_below long"
+DESCRIBED = "doc_id long, n long, d1 long, d2 long, band int, spare long, spare_below long, sketch binary"
 
 
 @lru_cache(maxsize=None)
@@ -161,6 +163,30 @@ def _digest(tokens: np.ndarray) -> tuple[int, int]:
     return a, b
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """Parity of the tokens that fall on each bit; halves folded together give the sketch of half the bits."""
+    bits = min(max(1 << max(0, len(tokens) - 1).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
+    place = (tokens & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(place, minlength=bits) & 1, bitorder="little").tobytes()
+
+
+def _sketches(raw: list[bytes]) -> np.ndarray:
+    """Sketches as rows of 64-bit words, all folded to the shortest."""
+    width = min(map(len, raw))
+    out = np.zeros((len(raw), width), dtype=np.uint8)
+    for i, one in enumerate(raw):
+        while len(one) > width:
+            half = len(one) // 2
+            one = (np.frombuffer(one, dtype=np.uint8)[:half] ^ np.frombuffer(one, dtype=np.uint8)[half:]).tobytes()
+        out[i] = np.frombuffer(one, dtype=np.uint8)
+    return out.view(np.uint64)
+
+
+def _within(differ: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """May sets of that size together be similar when they differ in so many tokens at least?"""
+    return differ * (100 + SIMILARITY) <= size * (100 - SIMILARITY)
+
+
 def describe(docs: DataFrame) -> DataFrame:
     """Per row: size and digest of its set, its band, and the segments it can spare there and below."""
 
@@ -170,9 +196,10 @@ def describe(docs: DataFrame) -> DataFrame:
             for tokens in shingle_hashes(Block(as_bytes(batch.column("text")))):
                 n = len(tokens)
                 band = _own_band(n) if n else -1
-                rows.append((n, *_digest(tokens), band, *((0, 0) if not n else _spares(tokens, band))))
+                rows.append((n, *_digest(tokens), band, *((0, 0) if not n else _spares(tokens, band)), sketch(tokens)))
             columns = [batch.column("doc_id")]
-            columns += [pa.array(c, pa.int32() if i == 3 else pa.int64()) for i, c in enumerate(zip(*rows))]
+            kinds = (*[pa.int64()] * 3, pa.int32(), *[pa.int64()] * 2, pa.binary())
+            columns += [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)]
             yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in DESCRIBED.split(", ")])
 
     def _spares(tokens, band):
@@ -240,7 +267,7 @@ def _id_filter(ids: DataFrame, column: str) -> np.ndarray:
 
 
 def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``class_id, body`` (compressed text) of the wanted ids, and of few others."""
+    """``class_id, body`` (compressed text) of the wanted ids, and of few others, which no pair names."""
     shared = docs.sparkSession.sparkContext.broadcast(_id_filter(ids, "class_id"))
 
     def run(batches):
@@ -256,8 +283,87 @@ def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 )
 
     place = F.xxhash64("doc_id").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    found = texts(docs).filter("doc_id is not null").withColumn("place", place).mapInArrow(run, "class_id long, body binary")
-    return found.join(ids, "class_id", "left_semi")
+    return texts(docs).filter("doc_id is not null").withColumn("place", place).mapInArrow(run, "class_id long, body binary")
+
+
+def _plausible(pairs: DataFrame, own: DataFrame) -> DataFrame:
+    """The pairs (a, b) that their sketches do not tell apart."""
+
+    def side(name: str) -> DataFrame:
+        return own.select(F.col("class_id").alias(name), F.col("n").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}"))
+
+    def run(batches):
+        for batch in batches:
+            left, right = batch.column("s_a").to_pylist(), batch.column("s_b").to_pylist()
+            size = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            width = np.array([min(len(x), len(y)) for x, y in zip(left, right)], dtype=np.int64)
+            good = np.zeros(len(left), dtype=bool)
+            for w in np.unique(width):
+                rows = np.flatnonzero(width == w).tolist()
+                both = _sketches([left[i] for i in rows] + [right[i] for i in rows])
+                differ = np.bitwise_count(both[: len(rows)] ^ both[len(rows) :]).sum(axis=1, dtype=np.int64)
+                good[rows] = _within(differ, size[rows])
+            chosen = batch.filter(pa.array(good))
+            yield pa.RecordBatch.from_arrays([chosen.column("a"), chosen.column("b")], names=["a", "b"])
+
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "s_a", "s_b")
+    return joined.mapInArrow(run, "a long, b long")
+
+
+def _across(apart: DataFrame) -> DataFrame:
+    """Pairs of a bucket's members in different components that their sketches do not tell apart.
+
+    A bucket meets in blocks of at most ``MEET`` members, any two of them in a group of their own.
+    """
+    bucket = Window.partitionBy("sig")
+    rows = (
+        apart.withColumn("block", F.floor((F.row_number().over(bucket.orderBy("class_id")) - 1) / MEET).cast("int"))
+        .withColumn("blocks", F.max("block").over(bucket))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks"))))
+        .select("sig", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "class_id", "component", "n", "sketch")
+    )
+
+    def meet(group: list[tuple]) -> tuple[list[int], list[int]]:
+        block, ids, component, n = (np.array(column) for column in list(zip(*group))[:4])
+        words = _sketches([row[4] for row in group])
+        found_a, found_b = [], []
+        split = int(np.searchsorted(block, block[-1])) if block[0] != block[-1] else 0
+        for i in range(split or len(ids)):
+            first = split or i + 1
+            differ = np.bitwise_count(words[first:] ^ words[i]).sum(axis=1, dtype=np.int64)
+            good = _within(differ, n[first:] + n[i]) & (component[first:] != component[i]) & (ids[first:] != ids[i])
+            others = ids[first:][good].tolist()
+            found_a += [int(ids[i])] * len(others)
+            found_b += others
+        return found_a, found_b
+
+    def run(batches):
+        key, group = None, []
+
+        def done():
+            a, b = meet(group)
+            lo, hi = np.minimum(a, b), np.maximum(a, b)
+            return pa.RecordBatch.from_arrays([pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
+            for row in zip(*columns):
+                if row[:3] != key:
+                    if len(group) > 1:
+                        yield done()
+                    key, group = row[:3], []
+                group.append(row[3:])
+        if len(group) > 1:
+            yield done()
+
+    dealt = rows.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi", "block", "class_id")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def _compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The similar ones of the pairs, by their whole texts."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("class_id"))
+    return settle(_linked(pairs, settle(_texts_of(docs, ids))))
 
 
 def _linked(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
@@ -303,69 +409,67 @@ def _classes(described: DataFrame) -> DataFrame:
     return known.join(least, keys)
 
 
-def _labelled(members: DataFrame, linked: DataFrame) -> DataFrame:
-    """Members of buckets that hold more than one component, with their component."""
-    component = components(linked).withColumnRenamed("node", "class_id")
-    told = members.drop("component").join(component, "class_id", "left").withColumn(
-        "component", F.coalesce("component", "class_id")
-    )
-    split = told.groupBy("sig").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).filter("_lo < _hi")
-    return told.join(split.select("sig"), "sig", "left_semi")
-
+def _apart(members: DataFrame, component: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of buckets that hold more than one component, with what tells them apart.
 
-def _leave_large(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Drop from large buckets whoever still has a segment outside them for every partner."""
-    large = members.groupBy("sig").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > LARGE).select("sig")
-    own = classes.filter("doc_id = class_id").select("class_id", "band", "spare", "spare_below")
-    rows = members.join(large, "sig", "left_semi").join(own, "class_id")
+    Buckets of up to three members have been compared whole. Members leave large buckets when they
+    have a segment outside them for every partner.
+    """
+    own = classes.filter("doc_id = class_id").select("class_id", "n", "sketch", "band", "spare", "spare_below")
+    known = component.withColumnRenamed("node", "class_id")
+    bucket, held = Window.partitionBy("sig"), Window.partitionBy("class_id", "_own")
     in_own = F.col("sig").bitwiseAND(F.lit(1)) == F.col("band").bitwiseAND(F.lit(1)).cast("long")
-    rows = rows.withColumn("_spare", F.when(in_own, F.col("spare")).otherwise(F.col("spare_below"))).withColumn("_own", in_own)
-    tight = rows.groupBy("class_id", "_own").agg(F.count(F.lit(1)).alias("_held"), F.min("_spare").alias("_left"))
-    tight = tight.filter("_held > _left").select("class_id", "_own")
-    stay = rows.join(tight, ["class_id", "_own"], "left_semi").select(*members.columns)
-    return members.join(large, "sig", "left_anti").unionByName(stay)
+    told = (
+        members.join(known, "class_id", "left")
+        .join(own, "class_id")
+        .withColumn("component", F.coalesce("component", "class_id"))
+        .withColumns(
+            {
+                "_size": F.count(F.lit(1)).over(bucket),
+                "_lo": F.min("component").over(bucket),
+                "_hi": F.max("component").over(bucket),
+            }
+        )
+        .filter("_size > 3 and _lo < _hi")
+        .withColumn("_own", in_own)
+        .withColumn("_spare", F.when(F.col("_own"), F.col("spare")).otherwise(F.col("spare_below")))
+        .withColumn("_large", (F.col("_size") > LARGE).cast("int"))
+    )
+    stays = told.withColumn("_held", F.sum("_large").over(held)).filter("_large = 0 or _held > _spare")
+    return stays.select("sig", "class_id", "component", "n", "sketch")
 
 
-def linked_pairs(docs: DataFrame, described: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Classes of equal sets, and links (a, b) between classes that connect all that is similar."""
+def linked_classes(docs: DataFrame, described: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes of equal sets, and the component of every class that is linked with another."""
     classes = settle(_classes(described))
     held = settle(_shared(publish(docs), "doc_id"))
-    mapped = held.join(classes.select("doc_id", "class_id"), "doc_id").select("sig", "class_id").distinct()
+    mapped = held.join(classes.select("doc_id", "class_id"), "doc_id").select("sig", "class_id").repartition("sig").distinct()
     members = settle(_shared(mapped, "class_id"))
-    bodies = settle(_texts_of(docs, members.select("class_id").distinct()))
     bucket = Window.partitionBy("sig").orderBy("class_id").rowsBetween(Window.unboundedPreceding, 0)
     near = members.withColumn("first", F.first("class_id").over(bucket)).withColumn(
         "before", F.lag("class_id").over(Window.partitionBy("sig").orderBy("class_id"))
     )
-    pairs = near.filter("before is not null").select(F.explode(F.array_distinct(F.array("first", "before"))).alias("a"), F.col("class_id").alias("b"))
-    tested = settle(pairs.filter("a < b").distinct())
+    pairs = near.filter("before is not null").select(
+        F.explode(F.array_distinct(F.array("first", "before"))).alias("a"), F.col("class_id").alias("b")
+    )
+    own = classes.filter("doc_id = class_id").select("class_id", "n", "sketch")
+    tested = settle(_plausible(pairs.filter("a < b").repartition("a").distinct(), own))
     # Rows that share an id are one node.
     one_id = classes.groupBy("doc_id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("_hi")).filter("a < _hi")
     same = classes.join(one_id.select("doc_id", "a"), "doc_id").select("a", F.col("class_id").alias("b")).filter("a < b")
-    linked = settle(_linked(tested, bodies).unionByName(same))
-    apart = settle(_leave_large(settle(_labelled(members, linked)), classes))
-    while not apart.isEmpty():
-        place = F.row_number().over(Window.partitionBy("sig").orderBy("class_id"))
-        numbered = settle(apart.withColumn("_place", place))
-        leaders = numbered.filter(F.col("_place") <= LEADERS).select(
-            "sig", F.col("class_id").alias("a"), F.col("component").alias("_of"), F.col("_place").alias("_at")
-        )
-        met = numbered.join(leaders, "sig").filter("_at < _place and component != _of")
-        pairs = met.select("a", F.col("class_id").alias("b")).distinct()
-        fresh = settle(pairs.join(tested, ["a", "b"], "left_anti"))
-        tested = tested.unionByName(fresh)
-        linked = linked.unionByName(settle(_linked(fresh, bodies)))
-        left = numbered.filter(F.col("_place") > LEADERS).select("sig", "class_id", "component")
-        apart = settle(_labelled(left, linked))
-    return classes, linked
+    component = components(_compared(docs, tested).unionByName(same))
+    more = settle(_across(_apart(members, component, classes)))
+    if not more.isEmpty():
+        stars = component.select(F.col("component").alias("a"), F.col("node").alias("b"))
+        component = components(stars.unionByName(_compared(docs, more)))
+    return classes, component
 
 
 def similar_groups(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row; the component's least id names it."""
     described = settle(describe(docs))
-    classes, linked = linked_pairs(docs, described)
-    component = components(linked).withColumnRenamed("node", "class_id")
-    grouped = classes.join(component, "class_id", "left").select(
+    classes, component = linked_classes(docs, described)
+    grouped = classes.join(component.withColumnRenamed("node", "class_id"), "class_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "class_id").alias("component_id")
     )
     alone = described.filter("n = 0 or doc_id is null")

@@ -80,9 +80,9 @@ def test_near_copies_of_many_sizes(documents):
 
 
 def test_chains_and_large_buckets(documents, monkeypatch):
-    """Neighbours in a chain are similar, its ends are not; buckets are larger than a round's leaders."""
+    """Neighbours in a chain are similar, its ends are not; buckets are larger than a block."""
     monkeypatch.setattr(ngram_join, "LARGE", 5)
-    monkeypatch.setattr(ngram_join, "LEADERS", 2)
+    monkeypatch.setattr(ngram_join, "MEET", 4)
     random = np.random.default_rng(5)
     words = [f"c{k}" for k in range(400)]
     rows = [(k, " ".join(words[3 * k : 3 * k + 120])) for k in range(60)]
@@ -116,6 +116,19 @@ def test_no_similar_pair_is_missed(size):
         assert published[0] & published[1]
 
 
+def test_sketches_never_differ_in_more_bits_than_sets_in_tokens():
+    random = np.random.default_rng(2)
+    for size in (1, 5, 60, 64, 65, 130, 500, 1025, 3000):
+        base = distinct(random.integers(0, 1 << 63, size, dtype=np.uint64))
+        for cut in (0, 1, size // 3):
+            other = distinct(np.append(base[cut:], random.integers(0, 1 << 63, cut // 2 + 2, dtype=np.uint64)))
+            x, y = ngram_join._sketches([ngram_join.sketch(base), ngram_join.sketch(other)])
+            differ = len(base) + len(other) - 2 * len(np.intersect1d(base, other))
+            assert int(np.bitwise_count(x ^ y).sum()) <= differ
+            if ngram_join.similar(base, other):
+                assert ngram_join._within(np.array([differ]), np.array([len(base) + len(other)]))[0]
+
+
 def test_components(spark):
     random = np.random.default_rng(1)
     edges = [(int(a), int(b)) for a, b in random.integers(0, 400, (260, 2))] + [(1000 + k, 1001 + k) for k in range(90)]
