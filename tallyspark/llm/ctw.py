@@ -32,8 +32,8 @@ from tallyspark.llm.text import as_bytes, in_blocks, texts
 DEPTH = 3
 CLASSES = 32
 CONTEXTS = CLASSES**DEPTH
-# Commonest training words that travel to every task.
-HEAD = 1 << 18
+# Commonest training words that travel to every task, at most.
+HEAD = 1 << 17
 # Distinct words a task counts before it hands them on.
 COUNTED = 1 << 19
 COUNT_BLOCK = 4 << 20
@@ -188,6 +188,23 @@ def count_words(train: DataFrame) -> DataFrame:
     return texts(train).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _commonest(vocabulary: DataFrame) -> DataFrame:
+    """The words above the least count that at most ``HEAD`` words reach.
+
+    Counts are told apart in steps of an eighth of a power of two, so the driver
+    sees a few hundred sizes and no task sends more words than are taken.
+    """
+    step = F.floor(F.log2("n") * 8).cast("int")
+    sizes = vocabulary.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).collect()
+    least, taken = 1 << 30, 0
+    for row in sorted(sizes, key=lambda r: -r["step"]):
+        taken += row["words"]
+        if taken > HEAD:
+            break
+        least = row["step"]
+    return vocabulary.filter(step >= least)
+
+
 PARTS = (
     "row_id long, doc_id long, held_out boolean, n_tokens long, n_bytes long, known long, logs double, score double, "
     "rare array<struct<word:binary,times:int>>"
@@ -206,7 +223,7 @@ def score_documents(docs: DataFrame, held_out) -> DataFrame:
     words = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("distinct")).first()
     ends = train.count()
     tokens, distinct = words["n"] + ends, words["distinct"] + (ends > 0)
-    common = vocabulary.orderBy(F.col("n").desc(), "word").limit(HEAD).toPandas()
+    common = _commonest(vocabulary).toPandas()
     head = dict(zip(map(bytes, common["word"]), np.log10(common["n"].to_numpy(dtype=np.float64) + 0.5).tolist()))
     shared = spark.sparkContext.broadcast((head, train_table(train)))
     end_log, end_known = float(np.log10(ends + 0.5)), int(ends > 0)
