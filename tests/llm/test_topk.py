@@ -58,7 +58,7 @@ def test_fewer_candidates_and_empty_tables(spark):
 
 
 def test_large_components_are_exact(spark):
-    rows = [(i, [float(2**24 + i), float(-(2**23) - i)]) for i in range(6)]
+    rows = [(i, [float(2**24 + 2 * i), float(-(2**23) - i)]) for i in range(6)]
     assert result(spark, rows, 4) == brute(rows, 4)
 
 
