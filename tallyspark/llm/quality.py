@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.text import Block, as_bytes, in_blocks, texts
+from tallyspark.llm.text import Block, as_bytes, in_blocks, small_batches, texts
 
 # Labelled rows a model is fitted on at most; those with the least hash of the id.
 TRAINING_ROWS = 40_000
@@ -258,4 +258,4 @@ def keep_good(docs: DataFrame, model: Additive, threshold: float, text: str = "t
             good = part.filter(pa.array(model.score(x) >= threshold))
             yield pa.RecordBatch.from_arrays([good.column(i) for i in range(len(names))], names=names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 # Bytes of text that one numpy step holds at most, unless a single text is longer.
 BLOCK_BYTES = 2 << 20
+# Rows of an Arrow batch of texts.
+BATCH_ROWS = 1000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -136,9 +138,17 @@ def in_blocks(
             at = end
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Let Arrow batches hold few rows: a batch of whole texts stands in the JVM and in the worker at once."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def texts(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """Only id and text, the id as long."""
-    return df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return small_batches(df).select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
 
 def remainder(doc_id: Column | str, modulus: int = 5) -> Column:
