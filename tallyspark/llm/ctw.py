@@ -1,12 +1,17 @@
 """Language-model scores by context-tree weighting over bytes, and the smoothed unigram base.
 
-A byte is coded as eight binary decisions. Its context is the three bytes before it, each told by
-one of 32 classes (letters without case, blanks, digits, other signs, parts of wide characters), so
-the tree has at most 32^3 contexts of 255 decisions whatever the corpus. Counts of (context, byte)
-over all training texts give every node of every depth its Krichevsky-Trofimov estimate; from the
-deepest contexts up, a node's weighted probability is half its own estimate and half the product of
-its children's. The posterior weights mix the estimates of depth 0 to 3 into one distribution for
-each context, so a text's code length is a sum of table lookups. Texts start after line feeds.
+A byte is coded as eight binary decisions. The nodes of depth 1 to 3 tell the bytes before it by 32
+classes (letters without case, blanks, digits, other signs, parts of wide characters); below them
+stand the contexts of the last 4 to 7 bytes as they are, as many as the training texts hold. Counts
+give every node its Krichevsky-Trofimov estimate; from the deepest contexts up, a node's weighted
+probability is half its own estimate and half the product of its children's. The posterior weights
+mix the estimates along a context's path, down to its deepest node that was seen in training, into
+one distribution. Texts start after line feeds.
+
+Texts are dealt into blocks once. The distinct cells (seven bytes and the next) of a block go to
+buckets by their last four context bytes, so a bucket holds whole subtrees; it is folded once for
+the sums that the upper tree needs and once to answer the blocks' cells, which meet their texts
+again by block. Only the upper tree (at most 32^3 contexts) travels to all tasks.
 
 The unigram base needs the count of every training word, a table that grows with the corpus: the
 ``HEAD`` commonest words travel to the tasks, all others meet their counts in a join.
@@ -20,14 +25,16 @@ other columns are not read.
 from __future__ import annotations
 
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm.store import settle
-from tallyspark.llm.text import as_bytes, in_blocks, texts
+from tallyspark.llm.text import as_bytes, in_blocks, mix, small_batches, texts
 
 DEPTH = 3
 CLASSES = 32
@@ -38,6 +45,14 @@ HEAD = 1 << 17
 COUNTED = 1 << 19
 COUNT_BLOCK = 4 << 20
 
+# Bytes of context that the deepest nodes tell, and those that a bucket's subtrees have in common.
+DEEP, DEALT = 7, 4
+DEEP_BLOCK = 16 << 20
+# Answers travel as 24-bit steps of a log10 probability (which is above -128).
+STEP = 2.0**-17
+# Buckets of up to 2 GB of text; their number grows with the square root from there.
+BUCKETS = 128
+
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -110,30 +125,36 @@ def _decisions(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return tree[..., 2::2], tree[..., 3::2]
 
 
-def byte_table(cell: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """log10 probability of each byte after each context, as [context, byte]."""
-    counts = np.zeros(CONTEXTS * 256, dtype=np.int64)
-    counts[cell] = n
-    counts = counts.reshape(CLASSES, CLASSES, CLASSES, 256)  # farthest, middle, nearest byte
+def _node(zeros, ones, below):
+    """Estimate, weighted log probability and own weight of nodes with children's sum ``below``."""
     half = np.log(0.5)
+    estimate = (ones + 0.5) / (zeros + ones + 1.0)
+    own = half + _log_kt(zeros, ones)
+    weighted = np.logaddexp(own, half + below)
+    return estimate, weighted, np.exp(own - weighted)
 
-    def node(zeros, ones, below):
-        """Estimate, weighted log probability and own weight of nodes with children's sum ``below``."""
-        estimate = (ones + 0.5) / (zeros + ones + 1.0)
-        own = half + _log_kt(zeros, ones)
-        weighted = np.logaddexp(own, half + below)
-        return estimate, weighted, np.exp(own - weighted)
 
+def _near(counts: np.ndarray, below: np.ndarray | None = None) -> tuple[list[tuple], tuple]:
+    """Nodes of depth 1 and 2 by the nearest byte, and the root; ``below`` has the children's sums of depth 3."""
     near = []
     for c1 in range(CLASSES):
-        part = counts[:, :, c1]
-        z3, o3 = _decisions(part)
+        z3, o3 = _decisions(counts[:, :, c1])
+        l3 = _log_kt(z3, o3) if below is None else _node(z3, o3, below[:, :, c1])[1]
         z2, o2, z1, o1 = z3.sum(0), o3.sum(0), z3.sum((0, 1)), o3.sum((0, 1))
-        p2, l2, w2 = node(z2, o2, _log_kt(z3, o3).sum(0))
-        p1, l1, w1 = node(z1, o1, l2.sum(0))
+        p2, l2, w2 = _node(z2, o2, l3.sum(0))
+        p1, l1, w1 = _node(z1, o1, l2.sum(0))
         near.append((p1, l1, w1, p2, w2))
     z0, o0 = _decisions(counts.sum((0, 1, 2)))
-    p0, _, w0 = node(z0, o0, sum(l1 for _, l1, *_ in near))
+    p0, _, w0 = _node(z0, o0, sum(l1 for _, l1, *_ in near))
+    return near, (p0, w0)
+
+
+def byte_table(cell: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """log10 probability of each byte after each context of the upper tree alone, as [context, byte]."""
+    counts = np.zeros(CONTEXTS * 256, dtype=np.int64)
+    counts[cell] = n
+    counts = counts.reshape(CLASSES, CLASSES, CLASSES, 256)  # farthest, middle, nearest byte
+    near, (p0, w0) = _near(counts)
     table = np.zeros((CLASSES, CLASSES, CLASSES, 256), dtype=np.float32)
     for c1, (p1, _, w1, p2, w2) in enumerate(near):
         z3, o3 = _decisions(counts[:, :, c1])
@@ -163,6 +184,271 @@ def code_lengths(texts_: list[bytes], table: np.ndarray) -> np.ndarray:
     np.cumsum(table.ravel()[cell], dtype=np.float64, out=total[1:])
     return total[end] - total[begin]
 
+def deep_cells(texts_: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every place of the padded texts as a number: the context from the nearest byte on, then the byte."""
+    pad = b"\n" * DEEP
+    data = np.frombuffer(pad + pad.join(texts_), dtype=np.uint8)
+    lengths = np.fromiter((len(t) for t in texts_), dtype=np.int64, count=len(texts_))
+    begin = np.cumsum(lengths + DEEP) - lengths - DEEP
+    n = len(data) - DEEP
+    key = data[DEEP:].astype(np.uint64)
+    for back in range(1, DEEP + 1):
+        key |= data[DEEP - back : DEEP - back + n].astype(np.uint64) << np.uint64(64 - 8 * back)
+    return key, begin, begin + lengths
+
+
+def _runs(ordered: np.ndarray) -> np.ndarray:
+    """Where a new value begins."""
+    if not len(ordered):
+        return np.zeros(0, dtype=np.int64)
+    return np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1])
+
+
+def _counted(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, their numbers added up."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = _runs(keys)
+    return keys[first], np.add.reduceat(n[order], first) if len(first) else n[:0]
+
+
+def _inside(key: np.ndarray, begin: np.ndarray, end: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    step = np.zeros(len(key) + 1, dtype=np.int64)
+    np.add.at(step, begin[chosen], 1)
+    np.add.at(step, end[chosen], -1)
+    return key[np.cumsum(step[:-1]) > 0]
+
+
+def _dealt(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order by bucket, and the buckets in that order."""
+    bucket = (mix(keys >> np.uint64(64 - 8 * DEALT)) % np.uint64(buckets)).astype(np.uint16 if buckets < 1 << 16 else np.uint32)
+    order = np.argsort(bucket, kind="stable")
+    return order, bucket[order]
+
+
+def _packed(values: np.ndarray, width: int | None = None) -> bytes:
+    """Bytes of equal rank side by side, compressed; ``width`` leaves out the high ones."""
+    planes = values.view(np.uint8).reshape(len(values), -1).T[:width]
+    return pa.compress(np.ascontiguousarray(planes), "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, kind: str, size: int, width: int | None = None) -> np.ndarray:
+    out = np.zeros((size, np.dtype(kind).itemsize), dtype=np.uint8)
+    width = width or out.shape[1]
+    raw = pa.decompress(data, size * width, "zstd", asbytes=True)
+    out[:, :width] = np.frombuffer(raw, dtype=np.uint8).reshape(width, size).T
+    return out.view(kind).ravel()
+
+
+def _distinct_cells(texts_: list[bytes]) -> np.ndarray:
+    key, begin, end = deep_cells(texts_)
+    keys = _inside(key, begin, end, np.ones(len(texts_), dtype=bool))
+    keys.sort()
+    return keys[_runs(keys)]
+
+
+def pack_pieces(texts_: list[bytes], train: np.ndarray, buckets: int):
+    """(bucket, size, keys, counts) of a block's distinct cells; cells of other than training texts count 0."""
+    key, begin, end = deep_cells(texts_)
+    seen = _inside(key, begin, end, train)
+    del key
+    seen.sort()
+    first = _runs(seen)
+    times = np.diff(np.append(first, len(seen)))
+    seen = seen[first]
+    keys = seen if train.all() else _distinct_cells(texts_)
+    n = np.zeros(len(keys), dtype=np.uint32)
+    n[np.searchsorted(keys, seen)] = times
+    order, bucket = _dealt(keys, buckets)
+    edges = _runs(bucket).tolist() + [len(bucket)]
+    for a, b in zip(edges, edges[1:]):
+        mine = keys[order[a:b]]
+        yield int(bucket[a]), b - a, _packed(np.diff(mine, prepend=np.uint64(0))), _packed(n[order[a:b]])
+
+
+def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct cells of a bucket in order, and their counts in all blocks."""
+    keys, n = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    parts, held = [(keys, n)], 0
+    for size, packed, counts in zip(table["size"].to_pylist(), table["keys"], table["counts"]):
+        parts.append((np.cumsum(_unpacked(packed.as_py(), "<u8", size), dtype=np.uint64), _unpacked(counts.as_py(), "<u4", size).astype(np.int64)))
+        held += size
+        if held > 1 << 20 and held > len(parts[0][0]):
+            parts, held = [_counted(*(np.concatenate(c) for c in zip(*parts)))], 0
+    return _counted(*(np.concatenate(c) for c in zip(*parts)))
+
+
+_SMALL = 256
+_KT: list[np.ndarray] = []
+
+
+def _kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """``_log_kt`` with small counts looked up."""
+    if not _KT:
+        at = np.arange(_SMALL, dtype=np.float64)
+        _KT.append(_log_kt(at[:, None], at[None, :]))
+        _KT[0][0, 0] = 0.0
+    small = (zeros < _SMALL) & (ones < _SMALL)
+    out = _KT[0][np.where(small, zeros, 0), np.where(small, ones, 0)]
+    large = ~small
+    if large.any():
+        out[large] = _log_kt(zeros[large].astype(np.float64), ones[large].astype(np.float64))
+    return out
+
+
+@dataclass
+class Level:
+    """Nodes of one depth for one bit: estimates, own weights, and where their children begin one level down."""
+
+    key: np.ndarray
+    estimate: np.ndarray
+    seen: np.ndarray
+    weight: np.ndarray
+    weighted: np.ndarray
+    first: np.ndarray
+
+
+def _levels(keys: np.ndarray, n: np.ndarray, bit: int) -> tuple[np.ndarray, list[Level]]:
+    """The order of the cells by path and context, and the levels from the deepest up."""
+    shift = np.uint64(8 - bit)
+    path = (keys & np.uint64(255)) >> shift
+    sort_key = (path << np.uint64(56)) | (keys >> np.uint64(8))
+    order = np.argsort(sort_key)
+    key, count = sort_key[order], n[order]
+    one = ((keys[order] >> np.uint64(7 - bit)) & np.uint64(1)).astype(bool)
+    zeros, ones, below, half = np.where(one, 0, count), np.where(one, count, 0), None, np.log(0.5)
+    levels = []
+    for depth in range(DEEP, DEALT - 1, -1):
+        first = _runs(key)
+        key, zeros, ones = key[first], np.add.reduceat(zeros, first), np.add.reduceat(ones, first)
+        own = _kt(zeros, ones)
+        if below is None:
+            weighted, weight = own, np.ones(len(own))
+        else:
+            weighted = np.logaddexp(half + own, half + np.add.reduceat(below, first))
+            weight = np.exp(half + own - weighted)
+        below = weighted
+        levels.append(Level(key, (ones + 0.5) / (zeros + ones + 1.0), zeros + ones > 0, weight, weighted, first))
+        key = key >> np.uint64(8)
+    return order, levels
+
+
+def _upper_cells(key: np.ndarray, bit: int) -> np.ndarray:
+    """Class context and decision of nodes of the depth that is dealt."""
+    c1, c2, c3 = (_CLASS[((key >> np.uint64(8 * (DEALT - k))) & np.uint64(255)).astype(np.int64)] for k in (1, 2, 3))
+    path = (key >> np.uint64(8 * DEALT)).astype(np.int64)
+    return (((c3.astype(np.int64) << 10) | (c2 << 5) | c1) << 8) | (1 << bit) | path
+
+
+def fold_sums(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``deep, cell, value``: log weighted probability below each upper node, and counts of the upper cells."""
+    out = []
+    for bit in range(8):
+        top = _levels(keys, n, bit)[1][-1]
+        out.append(_counted(_upper_cells(top.key, bit), top.weighted))
+    context = _upper_cells(keys >> np.uint64(8 * (DEEP + 1 - DEALT)), 0) & ~np.int64(255)
+    cell, count = _counted(context | (keys & np.uint64(255)).astype(np.int64), n)
+    deep = np.concatenate([c for c, _ in out])
+    flag = np.repeat([True, False], [len(deep), len(cell)])
+    return flag, np.concatenate([deep, cell]), np.concatenate([*(v for _, v in out), count.astype(np.float64)])
+
+
+@dataclass
+class Upper:
+    """What the nodes of depth 0 to 3 give to a decision, what they leave, and the value where nothing deeper was seen."""
+
+    row: np.ndarray
+    given: np.ndarray
+    left: np.ndarray
+    alone: np.ndarray
+
+
+def cell_logs(keys: np.ndarray, n: np.ndarray, upper: Upper) -> np.ndarray:
+    """log10 probability of each cell's byte after its context."""
+    logs = np.zeros(len(keys))
+    for bit in range(8):
+        order, levels = _levels(keys, n, bit)
+        at = _upper_cells(levels[-1].key, bit)
+        row, column = upper.row[at >> 8], at & 255
+        given, left, final = upper.given[row, column], upper.left[row, column], upper.alone[row, column]
+        for k, level in enumerate(reversed(levels)):
+            if k:
+                above = levels[len(levels) - k]
+                size = np.diff(np.append(above.first, len(level.key)))
+                given, left, final = np.repeat(given, size), np.repeat(left, size), np.repeat(final, size)
+            final = np.where(level.seen, given + left * level.estimate, final)
+            given, left = given + left * level.weight * level.estimate, left * (1 - level.weight)
+        final = np.repeat(final, np.diff(np.append(levels[0].first, len(keys))))
+        one = ((keys[order] >> np.uint64(7 - bit)) & np.uint64(1)).astype(bool)
+        logs[order] += np.log10(np.where(one, final, 1 - final))
+    return logs
+
+
+def upper_tree(sums) -> Upper:
+    """From the folded buckets: at most 2^24 sums come to the driver."""
+    deep = sums["deep"].to_numpy(dtype=bool)
+    cell, value = sums["cell"].to_numpy(dtype=np.int64), sums["value"].to_numpy(dtype=np.float64)
+    counts = np.zeros(CONTEXTS * 256, dtype=np.int64)
+    counts[cell[~deep]] = np.rint(value[~deep]).astype(np.int64)
+    below = np.zeros(CONTEXTS * 256)
+    below[cell[deep]] = value[deep]
+    used = np.unique(cell >> 8)
+    row = np.zeros(CONTEXTS, dtype=np.int32)
+    row[used] = np.arange(len(used))
+    given, left, alone = (np.zeros((len(used), 256)) for _ in range(3))
+    shape = (CLASSES, CLASSES, CLASSES, 256)
+    counts, below = counts.reshape(shape), below.reshape(shape)[..., 1:]
+    near, (p0, w0) = _near(counts, below)
+    nearest = used & (CLASSES - 1)
+    for c1, (p1, _, w1, p2, w2) in enumerate(near):
+        mine = np.flatnonzero(nearest == c1)
+        if not len(mine):
+            continue
+        z3, o3 = _decisions(counts[:, :, c1])
+        p3, _, w3 = _node(z3, o3, below[:, :, c1])
+        total, rest = np.zeros_like(p3), np.ones_like(p3)
+        for p, w in ((p0, w0), (p1, w1), (p2, w2)):
+            total, rest = total + rest * w * p, rest * (1 - w)
+        at = used[mine] >> 5
+        for out, part in ((given, total + rest * w3 * p3), (left, rest * (1 - w3)), (alone, total + rest * p3)):
+            out[mine, 1:] = part.reshape(-1, 255)[at]
+    return Upper(row, given, left, alone)
+
+
+def block_scores(texts_: list[bytes], buckets: int, answers: list[tuple[int, int, bytes]]) -> np.ndarray:
+    """log10 probability of each text of a block, from its cells' answers by bucket."""
+    known = _distinct_cells(texts_)
+    order, _ = _dealt(known, buckets)
+    logs = np.zeros(len(known))
+    if answers:
+        logs[order] = np.concatenate([_unpacked(data, "<u4", size, 3) for _, size, data in sorted(answers)]) * -STEP
+    out = []
+    for part in _slices(texts_, DEEP_BLOCK >> 3):
+        key, begin, end = deep_cells(part)
+        by_key = np.argsort(key)
+        key = key[by_key]
+        first = _runs(key)
+        if len(known):  # places between texts have no cell; what they get is left out below
+            value = logs[np.minimum(np.searchsorted(known, key[first]), len(known) - 1)]
+            key = np.empty(len(key))
+            key[by_key] = np.repeat(value, np.diff(np.append(first, len(key))))
+        total = np.zeros(len(key) + 1)
+        np.cumsum(key, dtype=np.float64, out=total[1:])
+        out.append(total[end] - total[begin])
+    return np.concatenate(out)
+
+
+def _slices(texts_: list[bytes], limit: int):
+    """Runs of texts of about ``limit`` bytes, or of one text."""
+    held, size = [], 0
+    for text in texts_:
+        if held and size + len(text) > limit:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    yield held
+
 
 def words_of(text: bytes) -> list[bytes]:
     return text.translate(_LOWER).split()
@@ -205,6 +491,88 @@ def _commonest(vocabulary: DataFrame) -> DataFrame:
     return vocabulary.filter(step >= least)
 
 
+BLOCKS = "block long, body binary"
+PIECES = "block long, bucket int, size int, keys binary, counts binary"
+
+
+def deal_blocks(rows: DataFrame) -> DataFrame:
+    """The rows dealt into numbered blocks, each a compressed Arrow stream."""
+
+    def run(batches):
+        block = TaskContext.get().partitionId() << 22
+        for batch in in_blocks(_gathered(batches), DEEP_BLOCK):
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([_body(batch)], pa.binary())], names=["block", "body"])
+            block += 1
+
+    return small_batches(rows).mapInArrow(run, BLOCKS)
+
+
+def _body(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _opened(body: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(body).read_next_batch()
+
+
+def _held(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+
+
+def cell_pieces(blocks: DataFrame, buckets: int) -> DataFrame:
+    """The distinct cells of each block by bucket."""
+
+    def run(batches):
+        for batch in batches:
+            for block, body in zip(batch.column("block").to_pylist(), batch.column("body")):
+                rows = _opened(body.as_py())
+                parts = list(pack_pieces(as_bytes(rows.column("text")), ~_held(rows), buckets))
+                columns = [[block] * len(parts), *(zip(*parts) if parts else [()] * 4)]
+                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+                names = ["block", "bucket", "size", "keys", "counts"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    return blocks.mapInArrow(run, PIECES)
+
+
+def _gathered(batches):
+    """Batches put together up to the bytes of a block."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= DEEP_BLOCK:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def answer_pieces(pieces: DataFrame) -> DataFrame:
+    """``block, bucket, size, logs``: the log10 probabilities of each piece's cells."""
+    spark = pieces.sparkSession
+
+    def sums(table: pa.Table) -> pa.Table:
+        return pa.table(dict(zip(("deep", "cell", "value"), fold_sums(*_merged(table)))))
+
+    folded = pieces.groupBy("bucket").applyInArrow(sums, "deep boolean, cell long, value double")
+    shared = spark.sparkContext.broadcast(upper_tree(folded.groupBy("deep", "cell").agg(F.sum("value").alias("value")).toPandas()))
+
+    def answers(table: pa.Table) -> pa.Table:
+        keys, n = _merged(table)
+        logs = np.rint(cell_logs(keys, n, shared.value) / -STEP).astype("<u4")
+        out = []
+        for size, packed in zip(table["size"].to_pylist(), table["keys"]):
+            mine = np.cumsum(_unpacked(packed.as_py(), "<u8", size), dtype=np.uint64)
+            out.append(_packed(logs[np.searchsorted(keys, mine)], 3))
+        return table.select(["block", "bucket", "size"]).append_column("logs", pa.array(out, pa.binary()))
+
+    return pieces.groupBy("bucket").applyInArrow(answers, "block long, bucket int, size int, logs binary")
+
+
 PARTS = (
     "row_id long, doc_id long, held_out boolean, n_tokens long, n_bytes long, known long, logs double, score double, "
     "rare array<struct<word:binary,times:int>>"
@@ -221,16 +589,24 @@ def score_documents(docs: DataFrame, held_out) -> DataFrame:
     train = rows.filter(~F.col("held_out"))
     vocabulary = settle(count_words(train))
     words = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("distinct")).first()
-    ends = train.count()
+    sizes = rows.agg(
+        F.coalesce(F.sum((~F.col("held_out")).cast("long")), F.lit(0)).alias("ends"),
+        F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes"),
+    ).first()
+    ends, buckets = sizes["ends"], int(BUCKETS * max(1.0, (sizes["bytes"] / (2 << 30)) ** 0.5))
+    blocks = settle(deal_blocks(rows))
     tokens, distinct = words["n"] + ends, words["distinct"] + (ends > 0)
     common = _commonest(vocabulary).toPandas()
     head = dict(zip(map(bytes, common["word"]), np.log10(common["n"].to_numpy(dtype=np.float64) + 0.5).tolist()))
-    shared = spark.sparkContext.broadcast((head, train_table(train)))
+    shared = spark.sparkContext.broadcast(head)
     end_log, end_known = float(np.log10(ends + 0.5)), int(ends > 0)
 
-    def run(batches):
-        head, table = shared.value
-        for batch in in_blocks(batches):
+    def run(table: pa.Table, answers: pa.Table) -> pa.Table:
+        head = shared.value
+        cell_answers = list(zip(answers["bucket"].to_pylist(), answers["size"].to_pylist(), answers["logs"].to_pylist()))
+        out = []
+        for number, body in zip(table["block"].to_pylist(), table["body"].to_pylist()):
+            batch = _opened(body)
             bodies = as_bytes(batch.column("text"))
             counts, known, logs, rare_words, rare_times, stops = [], [], [], [], [], [0]
             for text in bodies:
@@ -252,20 +628,21 @@ def score_documents(docs: DataFrame, held_out) -> DataFrame:
                 [pa.array(rare_words, pa.binary()), pa.array(rare_times, pa.int32())], names=["word", "times"]
             )
             columns = [
-                batch.column("row_id"),
+                pa.array(range(number << 24, (number << 24) + len(bodies)), pa.int64()),
                 batch.column("doc_id"),
                 batch.column("held_out"),
                 pa.array(counts, pa.int64()),
                 pa.array([len(t) for t in bodies], pa.int64()),
                 pa.array(known, pa.int64()),
                 pa.array(logs, pa.float64()),
-                pa.array(code_lengths(bodies, table)),
+                pa.array(block_scores(bodies, buckets, cell_answers)),
                 pa.ListArray.from_arrays(pa.array(stops, pa.int32()), rare),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=[n for n, _ in _names(PARTS)])
+            out.append(pa.RecordBatch.from_arrays(columns, names=[n for n, _ in _names(PARTS)]))
+        return pa.Table.from_batches(out)
 
-    numbered = rows.withColumn("row_id", F.monotonically_increasing_id())
-    parts = settle(numbered.mapInArrow(run, PARTS))
+    logs = answer_pieces(cell_pieces(blocks, buckets))
+    parts = settle(blocks.groupBy("block").cogroup(logs.groupBy("block")).applyInArrow(run, PARTS))
     shared.unpersist()
     rare = parts.select("row_id", F.explode("rare").alias("r")).select("row_id", "r.word", "r.times")
     counted = rare.join(vocabulary, "word", "left").groupBy("row_id").agg(
