@@ -3,10 +3,11 @@
 Patterns give base spans, which always stay. The field's nodes are the number phrases and the words
 with an at sign of a whole document; its labels are the kinds and "none". Neighbours that touch
 share a chain potential. Distant nodes that repeat or resemble each other (the same text, the same
-last digits, the same mailbox) share a skip potential, each linked to the next such node, so links
-grow with the nodes and not with their pairs. Weights are learned from the patterns' own findings by
-pseudo-likelihood; loopy message passing with the base spans held fixed then carries a label to the
-other mentions. A node is added when it is linked to a base span and its marginal is high.
+last digits, the same mailbox) share a skip potential, each linked to the next such node and to the
+first such base span, so links grow with the nodes and not with their pairs, and no mention is far
+from its evidence. Weights are learned from the patterns' own findings by
+pseudo-likelihood; loopy message passing with the base spans held fixed, until messages no longer
+change, then carries a label to the other mentions. A node is added when it is linked to a base span and its marginal is high.
 
 Defined cases: null and empty texts have no spans; null ids stay; repeated rows are searched each;
 without findings to learn from nothing is added; an empty table gives an empty result; other columns
@@ -39,7 +40,9 @@ AT_WORD = re.compile(r"[^\s@<>()\[\],;:\"|]+@[^\s@<>()\[\],;:\"|]*")
 # Documents that the weights are learned from at most; those with the least hash of the id.
 TRAINING_DOCS = 4000
 NODES_A_DOC = 64
-ITERATIONS = 12
+# Messages are passed until none changes by more, or for so many rounds where they swing for ever.
+TOLERANCE = 1e-4
+ROUNDS = 1000
 DAMPING = 0.5
 ADDED = 0.9
 HELD = 20.0
@@ -168,11 +171,19 @@ def document_graph(text: str, base: list[tuple[int, int, int]], limit: int | Non
                 label[i] = kind + 1
                 break
     chain = [(i, i + 1) for i in range(len(spans) - 1) if spans[i + 1][0] - spans[i][1] <= 2]
+    keys = [_keys(text[a:b]) for a, b in spans]
+    hub: dict[str, int] = {}
+    for i in np.flatnonzero(label).tolist():
+        for key in keys[i]:
+            hub.setdefault(key, i)
     skip, last = [], {}
-    for i, (a, b) in enumerate(spans):
-        for key in _keys(text[a:b]):
-            if key in last:
-                skip.append((last[key], i))
+    for i, mine in enumerate(keys):
+        for key in mine:
+            before, base_at = last.get(key), hub.get(key, i)
+            if before is not None:
+                skip.append((before, i))
+            if base_at < i and base_at != before or base_at > i + 1:
+                skip.append((base_at, i))
             last[key] = i
     x = np.array([_features(text, a, b) for a, b in spans], dtype=np.float32).reshape(-1, WIDTH)
     pairs = [np.array(e, dtype=np.int64).reshape(-1, 2) for e in (chain, skip)]
@@ -229,14 +240,18 @@ def marginals(x: np.ndarray, label: np.ndarray, chain: np.ndarray, skip: np.ndar
     kind = np.tile(np.repeat([0, 1], [len(chain), len(skip)]), 2)
     potential = np.stack([weights.chain, weights.skip])[kind]
     message = np.zeros((2 * count, size))
-    for _ in range(ITERATIONS):
+    held = (label > 0)[source][:, None]  # what comes in doesn't move a base label
+    for _ in range(ROUNDS if count else 0):
         belief = own.copy()
         np.add.at(belief, target, message)
-        outgoing = (belief[source] - message[back])[:, :, None] + potential
+        outgoing = np.where(held, own[source], belief[source] - message[back])[:, :, None] + potential
         top = outgoing.max(axis=1, keepdims=True)
         new = np.log(np.exp(outgoing - top).sum(axis=1)) + top[:, 0]
         new -= new.max(axis=1, keepdims=True)
+        change = np.abs(new - message).max()
         message = DAMPING * message + (1 - DAMPING) * new
+        if change <= TOLERANCE:
+            break
     belief = own.copy()
     np.add.at(belief, target, message)
     return _softmax(belief)
