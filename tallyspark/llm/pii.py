@@ -10,7 +10,7 @@ pseudo-likelihood; loopy message passing with the base spans held fixed, until m
 change, then carries a label to the other mentions. A node is added when it is linked to a base span and its marginal is high.
 
 Defined cases: null and empty texts have no spans; null ids stay; repeated rows are searched each;
-without findings to learn from nothing is added; an empty table gives an empty result; other columns
+where no text holds a base span nothing is added; an empty table gives an empty result; other columns
 are not read. Offsets count code points, ends are exclusive.
 """
 
@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.text import as_bytes, in_blocks, texts
+from tallyspark.functions.frames import top_rows
+from tallyspark.llm.text import as_bytes, in_blocks, mix, texts
 
 # Kinds in the order of the results, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -37,8 +38,10 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NUMBER = re.compile(r"[+(]{0,2}[0-9](?:[\x20().-]{0,2}[0-9])*")
 AT_WORD = re.compile(r"[^\s@<>()\[\],;:\"|]+@[^\s@<>()\[\],;:\"|]*")
 
-# Documents that the weights are learned from at most; those with the least hash of the id.
+# Distinct texts that the weights are learned from at most: so many of any kind, and the same number again shared by
+# the kinds of base spans they hold; those with the least hash of the text.
 TRAINING_DOCS = 4000
+# Nodes of a text that are learned from at most, each with all its neighbours; every label of the text takes part.
 NODES_A_DOC = 64
 # Messages are passed until none changes by more, or for so many rounds where they swing for ever.
 TOLERANCE = 1e-4
@@ -151,8 +154,8 @@ def _keys(text: str) -> list[str]:
     return keys
 
 
-def document_graph(text: str, base: list[tuple[int, int, int]], limit: int | None = None) -> Graph:
-    """The nodes of one document; ``limit`` keeps the first ones, for learning only."""
+def document_graph(text: str, base: list[tuple[int, int, int]]) -> Graph:
+    """The nodes of one document."""
     words = [m.span() for m in AT_WORD.finditer(text)] if "@" in text else []
     spans, at = [], 0
     for m in NUMBER.finditer(text):
@@ -160,7 +163,7 @@ def document_graph(text: str, base: list[tuple[int, int, int]], limit: int | Non
             at += 1
         if at == len(words) or m.end() <= words[at][0]:
             spans.append(m.span())
-    spans = sorted(spans + words)[:limit]
+    spans = sorted(spans + words)
     label = np.zeros(len(spans), dtype=np.int64)
     ordered, seen = sorted(base, key=lambda s: (s[1], s[2])), 0
     for i, (a, b) in enumerate(spans):
@@ -202,19 +205,22 @@ class Weights:
     skip: np.ndarray
 
 
-def fit(x: np.ndarray, label: np.ndarray, chain: np.ndarray, skip: np.ndarray, steps: int = 300) -> Weights:
-    """Pseudo-likelihood by gradient steps: each node given its neighbours' labels."""
+def neighbour_labels(label: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """How often each label stands at the other end of a node's edges."""
+    size = len(KINDS) + 1
+    truth, beside = np.eye(size), np.zeros((len(label), size))
+    np.add.at(beside, pairs[:, 0], truth[label[pairs[:, 1]]])
+    np.add.at(beside, pairs[:, 1], truth[label[pairs[:, 0]]])
+    return beside
+
+
+def fit(x: np.ndarray, label: np.ndarray, neighbours: list[np.ndarray], steps: int = 300) -> Weights:
+    """Pseudo-likelihood by gradient steps: each node given its neighbours' labels, by chain and by skip links."""
     size, n = len(KINDS) + 1, max(1, len(label))
     truth = np.eye(size)[label]
     prior = [np.zeros((WIDTH, size)), np.zeros((size, size)), SAME * np.eye(size)]
     parts = [p.copy() for p in prior]
     moment, square = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
-    neighbours = []
-    for pairs in (chain, skip):
-        beside = np.zeros((len(label), size))
-        np.add.at(beside, pairs[:, 0], truth[pairs[:, 1]])
-        np.add.at(beside, pairs[:, 1], truth[pairs[:, 0]])
-        neighbours.append(beside)
     decay = (5e-3, 1e-3, 1e-3)
     for step in range(1, steps + 1):
         off = truth - _softmax(x @ parts[0] + neighbours[0] @ parts[1] + neighbours[1] @ parts[2])
@@ -279,32 +285,69 @@ def _interesting(raw: list[bytes]) -> list[int]:
     return [i for i, text in enumerate(raw) if text.translate(None, _PLAIN)]
 
 
-def learn(docs: DataFrame, limit: int = TRAINING_DOCS) -> Weights | None:
-    """Weights from a bounded sample of the documents that have nodes."""
+def _chosen(label: np.ndarray) -> np.ndarray:
+    """Up to ``NODES_A_DOC`` nodes from anywhere in a text: of each label in turn the next by hash."""
+    by_hash = np.argsort(mix(np.arange(1, len(label) + 1, dtype=np.uint64)), kind="stable")
+    turn = np.zeros(len(label), dtype=np.int64)
+    for value in np.unique(label):
+        mine = by_hash[label[by_hash] == value]
+        turn[mine] = np.arange(len(mine))
+    return np.sort(by_hash[np.argsort(turn[by_hash], kind="stable")][:NODES_A_DOC])
+
+
+def training_keys(docs: DataFrame, limit: int = TRAINING_DOCS) -> DataFrame:
+    """Hashes of the distinct texts to learn from: the least of all that have nodes, and of each kind's."""
 
     def run(batches):
         for batch in in_blocks(batches):
-            raw, ids = as_bytes(batch.column("text")), batch.column("doc_id").to_pylist()
-            rows = []
+            raw, keys = as_bytes(batch.column("text")), batch.column("key").to_pylist()
+            kinds, out = [], []
             for i in _interesting(raw):
                 text = raw[i].decode()
-                g = document_graph(text, base_spans(text), NODES_A_DOC)
-                if g.spans:
-                    rows.append((ids[i], g.x.ravel(), g.label, g.chain.ravel(), g.skip.ravel()))
-            columns = list(zip(*rows)) if rows else [()] * 5
-            kinds = [pa.int64(), pa.list_(pa.float32()), *[pa.list_(pa.int64())] * 3]
-            names = ["doc_id", "x", "label", "chain", "skip"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
-
-    schema = "doc_id long, x array<float>, label array<long>, chain array<long>, skip array<long>"
-    sample = texts(docs).mapInArrow(run, schema).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).collect()
-    if not any(any(row["label"]) for row in sample):
+                if NUMBER.search(text) or AT_WORD.search(text):
+                    mine = [-1, *sorted({kind for kind, _, _ in base_spans(text)})]
+                    kinds += mine
+                    out += [keys[i]] * len(mine)
+            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(out, pa.int64())], names=["kind", "key"])
+
+    found = _keyed(docs).mapInArrow(run, "kind int, key long").distinct()
+    share = F.when(F.col("kind") < 0, limit).otherwise(-(-limit // len(KINDS)))
+    first = top_rows(found, ["kind"], [F.col("key")], limit, "_rank").filter(F.col("_rank") <= share)
+    return first.select("key").distinct()
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return texts(docs).select("text", F.xxhash64("text").alias("key"))
+
+
+def learn(docs: DataFrame, limit: int = TRAINING_DOCS) -> Weights | None:
+    """Weights from a bounded sample of the texts that have nodes; None where no text has a base span."""
+    width = 2 * (len(KINDS) + 1)
+    wanted = frozenset(row["key"] for row in training_keys(docs, limit).collect())
+
+    def run(batches):
+        done = set()  # a task gives one row of equal texts
+        for batch in in_blocks(batches):
+            rows = []
+            for i, key in enumerate(batch.column("key").to_pylist()):
+                if key not in wanted or key in done:
+                    continue
+                done.add(key)
+                text = as_bytes(batch.column("text").slice(i, 1))[0].decode()
+                g = document_graph(text, base_spans(text))
+                at = _chosen(g.label)
+                beside = np.concatenate([neighbour_labels(g.label, g.chain), neighbour_labels(g.label, g.skip)], axis=1)
+                rows.append((key, g.label[at].astype("<i4").tobytes(), np.concatenate([g.x, beside], axis=1)[at].astype("<f4").tobytes()))
+            columns = list(zip(*rows)) if rows else [()] * 3
+            kinds = [pa.int64(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["key", "label", "x"])
+
+    sample = sorted(_keyed(docs).mapInArrow(run, "key long, label binary, x binary").distinct().collect())
+    label = np.frombuffer(b"".join(bytes(r["label"]) for r in sample), dtype="<i4").astype(np.int64)
+    if not label.any():
         return None
-    graphs = [
-        (np.array(r["x"]).reshape(-1, WIDTH), np.array(r["label"]), *(np.array(r[c], dtype=np.int64).reshape(-1, 2) for c in ("chain", "skip")))
-        for r in sample
-    ]
-    return fit(*_together(graphs))
+    x = np.frombuffer(b"".join(bytes(r["x"]) for r in sample), dtype="<f4").reshape(-1, WIDTH + width).astype(np.float64)
+    return fit(x[:, :WIDTH], label, [x[:, WIDTH : WIDTH + width // 2], x[:, WIDTH + width // 2 :]])
 
 
 def _together(graphs: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
