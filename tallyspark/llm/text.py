@@ -155,3 +155,11 @@ def remainder(doc_id: Column | str, modulus: int = 5) -> Column:
     """crc32 of the id as text modulo ``modulus``; a null id counts as the empty text."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of the bytes as they stand; equal spans have equal hashes."""
+    up, down = _POWERS.upto(len(data) + 1)
+    total = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE_KEYS[data] * up[: len(data)], out=total[1:])
+    return mix((total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64))
