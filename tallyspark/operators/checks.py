@@ -171,18 +171,27 @@ def detection_scorecard(manifest: DataFrame, flags: DataFrame, breaks: DataFrame
     def named(value: Column, bit: int) -> Column:
         return F.when(F.col("_mask").bitwiseAND(F.lit(1 << bit)) != 0, value)
 
+    keys = ("category", "_mask", "trade_id", *[f"_{name}" for name in places])
+    # Flags and breaks are cut to the keys that issues name before any of them is shuffled.
     found = (
-        detected.withColumn("_mask", F.explode(masks))
+        detected.withColumn("day", F.col("day").cast("string"))
+        .join(issues.select("category").distinct(), "category", "left_semi")
+        .withColumn("_mask", F.explode(masks))
         .select(
             "category",
             "_mask",
-            *[named(F.col(name).cast("string"), bit).alias(f"_{name}") for bit, name in enumerate(places)],
+            *[named(F.col(name), bit).alias(f"_{name}") for bit, name in enumerate(places)],
             named(F.col("trade_id"), len(places)).alias("trade_id"),
         )
+        .alias("f")
+        .join(
+            issues.select(*keys).distinct().alias("i"),
+            [F.col(f"i.{key}").eqNullSafe(F.col(f"f.{key}")) for key in keys],
+            "left_semi",
+        )
         .distinct()
         .withColumn("_found", F.lit(True))
     )
-    keys = ("category", "_mask", "trade_id", *[f"_{name}" for name in places])
     same = [F.col(f"i.{key}").eqNullSafe(F.col(f"f.{key}")) for key in keys]
     hits = F.count_if("_found")
     rows = F.count(F.lit(1))

@@ -287,17 +287,25 @@ def event_window_metrics(prices: DataFrame, events: DataFrame, positions: DataFr
     )
 
 
+def window_measures() -> dict[str, F.Column]:
+    """What a pass over the metrics counts: full windows, and nulls per metric."""
+    nulls = {f"null_{name}": F.count_if(F.col(name).isNull()) for name in METRICS}
+    return {"full_windows": F.count_if("is_full_window"), **nulls}
+
+
+def event_keys(events: DataFrame) -> DataFrame:
+    """How many event keys there are: one row."""
+    keys = events.groupBy("event_id", "security_id").agg(F.lit(1).alias("_"))
+    return keys.agg(F.count(F.lit(1)).alias("events"))
+
+
 def event_window_summary(events: DataFrame, metrics: DataFrame) -> DataFrame:
     """Event keys, output rows, full and partial windows, nulls per metric: one pass each."""
-    full = F.count_if("is_full_window")
     rows = F.count(F.lit(1))
+    measures = window_measures()
     measured = metrics.agg(
         rows.alias("output_rows"),
-        full.alias("full_windows"),
-        (rows - full).alias("partial_windows"),
-        *[F.count_if(F.col(name).isNull()).alias(f"null_{name}") for name in METRICS],
-    )
-    keys = events.groupBy("event_id", "security_id").agg(F.lit(1).alias("_")).agg(
-        F.count(F.lit(1)).alias("events")
+        (rows - measures["full_windows"]).alias("partial_windows"),
+        *[measure.alias(name) for name, measure in measures.items()],
     )
-    return measured.withColumn("events", keys.scalar())
+    return measured.withColumn("events", event_keys(events).scalar())

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.frames import top_rows, union_all
 from tallyspark.operators.corpus import BREAK_DOC, EVENT_DOC, QUALITY_DOC
-from tallyspark.operators.vectors import knn_topk, parsed_source_tables, query_vectors
+from tallyspark.operators.vectors import Search, knn_topk, parsed_source_tables, query_vectors
+from tallyspark.sources.files import stored
 
 # Order in which document types count as exact evidence.
 TYPE_PRIORITY = {BREAK_DOC: 0, QUALITY_DOC: 1, EVENT_DOC: 2}
@@ -64,23 +65,27 @@ def hybrid_evidence(
     k: int = 5,
     order: str = "document_id",
     asked: DataFrame | None = None,
+    search: Search | None = None,
 ) -> DataFrame:
     """Up to k documents per question: (query_id, document_id, rank, is_exact).
 
     Exact evidence first; a question it leaves short is filled from the nearest
     3k texts. The fill goes by document id; pass ``order="distance"`` to fill by
     nearness instead. ``asked`` (query_id, vector) are the questions' vectors from
-    the model that made those of the documents. Without a table of documents there
-    is no evidence.
+    the model that made those of the documents; ``search`` is that of a stored index
+    of the documents, and with it the exact evidence is stored once, as a search runs
+    jobs of its own. Without a table of documents there is no evidence.
     """
     if documents is None:
         return parsed.sparkSession.createDataFrame([], EVIDENCE)
     exact = union_all(
         [exact_metadata_evidence(parsed, documents, k), security_evidence(parsed, documents, k)]
     )
+    if search:
+        exact = stored(exact)
     full = exact.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= k)
-    short = parsed.join(full, "query_id", "left_anti")
-    nearest = knn_topk(query_vectors(short, asked), documents, 3 * k)
+    short = query_vectors(parsed.join(full, "query_id", "left_anti"), asked)
+    nearest = search(short, 3 * k) if search else knn_topk(short, documents, 3 * k)
     fill_order = F.col("distance") if order == "distance" else F.lit(0.0)
     candidates = union_all(
         [

@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.expr import python_text
-from tallyspark.functions.frames import top_rows
+from tallyspark.functions.frames import calendar_of, top_rows
 from tallyspark.operators.evidence import FIELDS, evidence_documents, has_all_fields, hybrid_evidence
+from tallyspark.operators.vectors import Search
 
 FLAG_LIMIT = 20
 EVENT_LIMIT = 10
@@ -134,7 +135,9 @@ def lookup_break(parsed: DataFrame, breaks: DataFrame) -> DataFrame:
     )
     keys = ["account_id", "security_id", "position_date"]
     order = [F.col("break_id"), F.col("reported_position").asc_nulls_first()]
-    wanted = breaks.join(asked.select(*keys).distinct(), keys, "left_semi")
+    # The days asked about are known before the scan: other days' folders are not read.
+    of_days = breaks.filter(F.array_contains(calendar_of(asked, "position_date"), F.col("position_date")))
+    wanted = of_days.join(asked.select(*keys).distinct(), keys, "left_semi")
     first = top_rows(wanted, keys, order, 1, "_place")
     return asked.join(first, keys).select("query_id", *BREAK_FIELDS)
 
@@ -159,7 +162,10 @@ def lookup_flags(parsed: DataFrame, flags: DataFrame, limit: int = FLAG_LIMIT) -
     masked = asked.withColumn("_mask", mask())
     # At most eight numbers, whatever the questions.
     masks = masked.agg(F.collect_set("_mask")).scalar()
-    keyed = flags.withColumn("_mask", F.explode(masks)).withColumns(
+    # Where every question names a day, other days' folders are not read.
+    undated = masked.agg(F.coalesce(F.max(F.col("_flag_date").isNull()), F.lit(False))).scalar()
+    of_days = F.array_contains(calendar_of(masked, "_flag_date"), F.col("flag_date"))
+    keyed = flags.filter(undated | of_days).withColumn("_mask", F.explode(masks)).withColumns(
         {
             f"_{name}": F.when(F.col("_mask").bitwiseAND(F.lit(1 << bit)) != 0, F.col(name))
             for bit, name in enumerate(fields)
@@ -233,16 +239,18 @@ def investigation_packet(
     documents: DataFrame | None,
     k: int = 5,
     asked: DataFrame | None = None,
+    search: Search | None = None,
 ) -> DataFrame:
     """One packet per question: summary, structured break, flags, event context,
     evidence, and notes on confidence and missing data. Without a table of
     documents the evidence is empty; ``asked`` (query_id, vector) are the
-    questions' vectors from the model that made those of the documents."""
+    questions' vectors from the model that made those of the documents, ``search``
+    that of a stored index of the documents."""
     parsed = parse_query(queries)
     found_breaks = stringify_rows(lookup_break(parsed, breaks), "query_id")
     found_flags = stringify_rows(lookup_flags(parsed, flags), "query_id", "rank")
     found_events = stringify_rows(lookup_event_context(parsed, metrics, events), "query_id", "rank")
-    evidence = hybrid_evidence(parsed, documents, k, asked=asked)
+    evidence = hybrid_evidence(parsed, documents, k, asked=asked, search=search)
     parts = [
         found_breaks.select("query_id", F.struct(*BREAK_FIELDS).alias("structured_break")),
         _listed(found_flags, FLAG_FIELDS, "quality_flags"),

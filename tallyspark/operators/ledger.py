@@ -162,7 +162,12 @@ def forward_split_positions(
     splits = daily_split_ratios(corporate_actions).withColumnRenamed("_day", "position_date")
     affected = splits.select("security_id").distinct()
     complete = F.col("account_id").isNotNull() & F.col("position_date").isNotNull()
-    touched = reported.join(affected, "security_id", "left_semi").filter(complete)
+    # Rows of securities that never split go by as they are, as do rows without a key.
+    routed = reported.join(affected.withColumn("_splits", F.lit(True)), "security_id", "left").withColumn(
+        "_splits", F.coalesce(F.col("_splits") & complete, F.lit(False))
+    )
+    untouched = routed.filter(~F.col("_splits")).select(*reported.columns)
+    touched = routed.filter("_splits").select(*reported.columns)
     daily = touched.groupBy(*CELL).agg(
         F.min("reported_quantity").alias("reported_quantity"), F.lit(True).alias("_report")
     )
@@ -193,11 +198,11 @@ def forward_split_positions(
     changed = days.select(*CELL, carried.alias("_carried")).filter("_carried is not null")
     others = [name for name in reported.columns if name not in (*CELL, "reported_quantity")]
     of_day = Window.partitionBy(*CELL).orderBy(F.col("reported_quantity").asc_nulls_last(), *others)
-    rows = reported.withColumn("_place", F.row_number().over(of_day)).join(changed, list(CELL), "left")
+    rows = touched.withColumn("_place", F.row_number().over(of_day)).join(changed, list(CELL), "left")
     quantity = F.when(F.col("_place") == 1, F.coalesce("_carried", "reported_quantity")).otherwise(
         F.col("reported_quantity")
     )
-    return rows.withColumn("reported_quantity", quantity).select(*reported.columns)
+    return untouched.unionByName(rows.withColumn("reported_quantity", quantity).select(*reported.columns))
 
 
 def canonical_trade_order(trades: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.expr import key_digest
@@ -56,16 +56,43 @@ def _finished(flags: DataFrame) -> DataFrame:
     )
 
 
-def repeated_trades(trades: DataFrame) -> DataFrame:
-    """The keys of trades whose id is on more than one row (a null id is no id).
+# Bits of the filter over the hashes of repeated ids: 1 MB, whatever the data.
+FILTER_BITS = 1 << 23
+WORD = 63
 
-    Rows are counted by all the keys of a flag before ids are, so whole trades are
-    not shuffled by id.
+
+def _word_and_bit(hashed: Column) -> tuple[Column, Column]:
+    place = F.pmod(hashed, F.lit(FILTER_BITS))
+    return F.floor(place / WORD).cast("int"), (place % WORD).cast("int")
+
+
+def repeated_ids(trades: DataFrame) -> DataFrame:
+    """Ids that stand on more than one row (a null id is no id).
+
+    Only ids are read and shuffled, merged inside the tasks first, so an id that many
+    rows share is one row per task.
     """
-    keys = ("trade_id", "account_id", "security_id", "trade_date")
-    counted = trades.filter(F.col("trade_id").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    repeated = counted.groupBy("trade_id").agg(F.sum("_rows").alias("_rows")).filter("_rows > 1")
-    return counted.select(*keys).join(repeated.select("trade_id"), "trade_id", "left_semi")
+    counted = trades.filter("trade_id is not null").groupBy("trade_id").agg(F.count(F.lit(1)).alias("_rows"))
+    return counted.filter("_rows > 1").select("trade_id")
+
+
+def may_repeat(ids: DataFrame) -> Column:
+    """Whether a trade's id may be one of ``ids``: its bit in a filter over their hashes.
+
+    The filter is an array of words of fixed size; it lets through every row of an id and
+    some others, which an exact join has to take out.
+    """
+    word, bit = _word_and_bit(F.xxhash64("trade_id"))
+    set_bit = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    met = ids.groupBy(word.alias("_word")).agg(F.bit_or(set_bit).alias("_bits"))
+    # As many words as the filter has.
+    words = ids.sparkSession.range(FILTER_BITS // WORD + 1).select(F.col("id").cast("int").alias("_word"))
+    filled = words.join(met, "_word", "left").select(
+        F.struct("_word", F.coalesce("_bits", F.lit(0).cast("long")).alias("_bits")).alias("_at")
+    )
+    array = filled.agg(F.transform(F.sort_array(F.collect_list("_at")), lambda at: at["_bits"])).scalar()
+    is_set = F.call_function("shiftright", F.get(array, word), bit).bitwiseAND(F.lit(1).cast("long")) == 1
+    return F.col("trade_id").isNotNull() & is_set
 
 
 def flag_id_of(*keys: str) -> F.Column:
@@ -83,6 +110,8 @@ def trade_flags(
 ) -> DataFrame:
     """One row per flag id for the asked kinds, all found in a single pass over the trades.
 
+    Repeated trades are suspected by a filter of fixed size over the ids that repeat,
+    which takes one more look at the ids alone, and checked once they are few.
     Reference data is looked up from the trade side, so a security or date that
     holds a large share of the trades is split by the skew join. Flag rows are
     reduced on their plain key columns, with partial aggregation before the
@@ -98,6 +127,7 @@ def trade_flags(
             priced.withColumn("_priced", F.lit(True)), ["security_id", "trade_date"], "left"
         )
     conditions = {
+        "DUPLICATE_TRADE": lambda: may_repeat(repeated_ids(trades)),
         "UNKNOWN_SECURITY": lambda: F.col("_known").isNull(),
         "MISSING_PRICE": lambda: F.col("_known") & F.col("_priced").isNull(),
         "INVALID_QUANTITY": lambda: F.coalesce(F.col("quantity") <= 0, F.lit(True)),
@@ -111,8 +141,6 @@ def trade_flags(
     texts = ("trade_id", "account_id", "security_id")
     keys = ("trade_date", *texts)
     found = rows.select(F.explode(raised).alias("flag_type"), *keys)
-    if "DUPLICATE_TRADE" in kinds:
-        found = found.unionByName(repeated_trades(trades).select(F.lit("DUPLICATE_TRADE").alias("flag_type"), *keys))
     flagged = (
         found.select(
             "flag_type",
@@ -123,6 +151,10 @@ def trade_flags(
         .groupBy("flag_type", "flag_date", *texts)
         .agg(*[F.max(f"_has_{name}").alias(f"_has_{name}") for name in texts])
     )
+    if "DUPLICATE_TRADE" in kinds:
+        suspect = F.col("flag_type") == "DUPLICATE_TRADE"
+        exact = repeated_ids(trades).select(F.lit("DUPLICATE_TRADE").alias("flag_type"), "trade_id", F.lit(True).alias("_repeats"))
+        flagged = flagged.join(exact, ["flag_type", "trade_id"], "left").filter(~suspect | F.col("_repeats")).drop("_repeats")
     flagged = flagged.withColumn("flag_id", flag_id_of(*texts, "flag_date")).withColumns(
         {name: F.when(F.col(f"_has_{name}"), F.col(name)) for name in texts}
     )

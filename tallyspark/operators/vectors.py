@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +20,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 DIMENSIONS = 64
 TOKEN = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 
-# Groups that the documents are dealt into. A task holds the vectors of one group
-# while the questions pass, so documents / CELLS times their width must fit there.
-CELLS = 64
+# Documents of one group of a search without an index. A task holds the vectors of one
+# group while the questions pass.
+CELL_ROWS = 16_384
 # Distances held at once: question rows times document rows.
 DISTANCES = 2_000_000
 
@@ -30,29 +30,51 @@ FOUND_SCHEMA = "query_id string, document_id string, distance double"
 FOUND_ARROW = pa.schema(
     [("query_id", pa.string()), ("document_id", pa.string()), ("distance", pa.float64())]
 )
+# The k nearest documents of (query_id, vector): query_id, document_id, distance, rank.
+Search = Callable[[DataFrame, int], DataFrame]
+
 METADATA = ("document_type", "account_id", "security_id", "position_date", "event_date", "title")
 
 
+def _let(value: F.Column, use: Callable[[F.Column], F.Column]) -> F.Column:
+    """``use(value)`` with ``value`` computed once: a one-element array binds it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def term_vector(text: str, dimensions: int = DIMENSIONS) -> F.Column:
     """Token counts hashed into a fixed number of places, not normalized.
 
     Stands in for a sentence-embedding model: it finds documents with the same
-    words, not the same meaning.
+    words, not the same meaning. The sorted places of a text are folded into runs
+    in one pass; each run then writes the zeros before it and its length.
     """
     tokens = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TOKEN), F.lit(0))
-    places = F.transform(
-        tokens, lambda t: F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long") % dimensions
+    hashed = F.transform(
+        tokens, lambda t: (F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long") % dimensions).cast("int")
     )
 
-    def counts(found: F.Column) -> F.Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.lit(dimensions - 1)),
-            lambda place: F.size(F.filter(found, lambda at: at == place)).cast("float"),
+    def runs(places: F.Column) -> F.Column:
+        """Place and end of every run; the next place of the last is null."""
+        ends = F.transform(
+            places,
+            lambda place, at: F.when(
+                ~F.get(places, at + 1).eqNullSafe(place), F.struct(place.alias("place"), (at + 1).alias("end"))
+            ),
         )
+        return F.filter(ends, lambda run: run.isNotNull())
 
-    # The one-element array binds the places, so they are hashed once per text and
-    # not once per dimension.
-    return F.transform(F.array(places), counts)[0]
+    def spread(found: F.Column) -> F.Column:
+        def written(run: F.Column, at: F.Column) -> F.Column:
+            before = F.get(found, at - 1)
+            zeros = run["place"] - F.coalesce(before["place"], F.lit(-1)) - 1
+            length = run["end"] - F.coalesce(before["end"], F.lit(0))
+            return F.concat(F.array_repeat(F.lit(0.0).cast("float"), zeros), F.array(length.cast("float")))
+
+        last = F.get(found, F.size(found) - 1)["place"]
+        rest = F.array_repeat(F.lit(0.0).cast("float"), F.lit(dimensions - 1) - F.coalesce(last, F.lit(-1)))
+        return F.concat(F.flatten(F.transform(found, written)), rest)
+
+    return _let(F.sort_array(hashed), lambda places: _let(runs(places), spread))
 
 
 def vector_metadata(corpus: DataFrame) -> DataFrame:
@@ -116,10 +138,12 @@ def _squares(rows: np.ndarray) -> np.ndarray:
     return np.einsum("ij,ij->i", rows, rows)
 
 
-def _estimates(queries: np.ndarray, documents: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
+def _estimates(
+    queries: np.ndarray, documents: np.ndarray, metric: str, squares: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Distances by one matrix product, and how far each may be off."""
     inner = queries @ documents.T
-    q, d = _squares(queries)[:, None], _squares(documents)[None, :]
+    q, d = _squares(queries)[:, None], (_squares(documents) if squares is None else squares)[None, :]
     unit = 8 * (queries.shape[1] + 4) * np.finfo(np.float64).eps
     if metric == "l2":
         return q + d - 2.0 * inner, unit * (q + d)
@@ -171,47 +195,48 @@ def _nearest(
     return tuple(np.concatenate(part) for part in zip(*parts))
 
 
+def checked_vectors(df: DataFrame, name: str) -> DataFrame:
+    """``id`` and ``vector`` of the rows that have both; a null or non-finite value is an error that names the row."""
+    whole = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    message = F.concat(F.lit(f"{name} "), F.col("id"), F.lit(" has a null or non-finite value"))
+    checked = F.when(whole, F.col("vector")).otherwise(F.raise_error(message).cast("array<double>"))
+    named = df.select(F.col(name).cast("string").alias("id"), F.col("vector").cast("array<double>"))
+    return named.filter("vector is not null and id is not null").select("id", checked.alias("vector"))
+
+
 def knn_topk(
     queries: DataFrame,
     documents: DataFrame,
     k: int,
     metric: str = "l2",
-    cells: int = CELLS,
+    cells: int | None = None,
 ) -> DataFrame:
     """The k nearest documents of every query: (query_id, document_id, distance, rank).
 
-    Exact search; ``metric`` is l2 (squared), ip or cosine. Tables are
-    (query_id, vector) and (document_id, vector). Documents are dealt once into
-    ``cells`` groups by id; every group sees all queries, and what leaves it is k
+    Exact search of a table without an index, one lazy plan; a table that is searched
+    often is better stored as a ``metric_index``, which gives the same rows. ``metric``
+    is l2 (squared), ip or cosine. Tables are (query_id, vector) and (document_id,
+    vector). Documents are dealt once into ``cells`` groups by id, by default as many
+    as their count asks for; every group sees all queries, and what leaves it is k
     rows per query. The result does not depend on ``cells``. Equal distances go
     to the smaller document id. Rows without an id or a vector take no part; a
     vector without direction (all zero) has cosine distance 1 to everything; a
     vector of another width than the rest of its group, or with a null or
     non-finite value, is an error that names it.
     """
-    usable = "vector is not null and {} is not null"
 
     def side(df: DataFrame, name: str, cell: F.Column, asked: bool) -> DataFrame:
-        named = df.select(F.col(name).cast("string").alias("id"), F.col("vector").cast("array<double>"))
-        whole = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-        message = F.concat(F.lit(f"{name} "), F.col("id"), F.lit(" has a null or non-finite value"))
-        checked = F.when(whole, F.col("vector")).otherwise(F.raise_error(message).cast("array<double>"))
-        return named.filter(usable.format("id")).select(
-            cell.alias("cell"), F.lit(asked).alias("asked"), "id", checked.alias("vector")
-        )
-
-    def cell_of(name: str) -> F.Column:
-        return F.pmod(F.xxhash64(F.col(name)), F.lit(cells)).cast("int")
-
-    stored = side(documents, "document_id", cell_of("id"), False)
-    every = F.explode(F.sequence(F.lit(0), F.lit(cells - 1)))
+        return checked_vectors(df, name).select(cell.alias("cell"), F.lit(asked).alias("asked"), "id", "vector")
+
+    if cells is None:
+        groups = documents.agg(F.greatest(F.ceil(F.count(F.lit(1)) / CELL_ROWS), F.lit(1)).cast("int")).scalar()
+    else:
+        groups = F.lit(cells)
+    stored = side(documents, "document_id", F.pmod(F.xxhash64("id"), groups).cast("int"), False)
+    every = F.explode(F.sequence(F.lit(0), groups - 1))
     asked = side(queries, "query_id", every, True)
     # A group's documents come first, then its queries in batches.
-    meeting = (
-        stored.unionByName(asked)
-        .repartition(cells, "cell")
-        .sortWithinPartitions("cell", "asked", "id")
-    )
+    meeting = stored.unionByName(asked).repartition("cell").sortWithinPartitions("cell", "asked", "id")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, ids, vectors, cell = [], np.empty(0, dtype=object), np.empty((0, 0)), None
@@ -250,14 +275,16 @@ def knn_topk(
 
 
 def similarity_retriever(
-    queries: DataFrame, vectors: DataFrame, k: int, asked: DataFrame | None = None
+    queries: DataFrame, vectors: DataFrame, k: int, asked: DataFrame | None = None, search: Search | None = None
 ) -> DataFrame:
     """The k nearest documents of every query text, with distance, text and metadata.
 
     ``asked`` (query_id, vector) are vectors of the queries from the model that
-    made those of the documents.
+    made those of the documents. ``search`` is that of a stored index of ``vectors``;
+    without it all documents are measured.
     """
-    nearest = knn_topk(query_vectors(queries, asked), vectors, k)
+    wanted = query_vectors(queries, asked)
+    nearest = search(wanted, k) if search else knn_topk(wanted, vectors, k)
     return nearest.join(vectors.drop("vector"), "document_id").withColumn(
         "source_tables", parsed_source_tables("source_tables")
     )

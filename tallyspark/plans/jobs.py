@@ -4,24 +4,27 @@ written and read back by whoever needs it."""
 
 from __future__ import annotations
 
+import datetime
 import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark import schemas
 from tallyspark.operators import corpus as corpus_ops
 from tallyspark.operators import splits
 from tallyspark.operators.breaks import break_summary, reconciliation_breaks
-from tallyspark.operators.bronze import bronze_metadata
+from tallyspark.operators.bronze import bronze_metadata, is_no_record, quarantine
 from tallyspark.operators.cleaning import clean
-from tallyspark.operators.events import event_window_metrics, event_window_summary
+from tallyspark.operators.events import event_keys, event_window_metrics, window_measures
 from tallyspark.operators.grounding import groundedness
 from tallyspark.operators.investigation import investigation_packet
-from tallyspark.operators.positions import position_reconstruction
-from tallyspark.operators.quality import flag_counts, trade_quality_flags
-from tallyspark.operators.vectors import similarity_retriever, vector_table
+from tallyspark.operators.metric_index import build_index, open_index
+from tallyspark.operators.positions import BREAK, MATCH, MISMATCH, NOT_REPORTED, SIGNALS, position_reconstruction
+from tallyspark.operators.quality import FLAG_TEXTS, flag_counts, trade_quality_flags
+from tallyspark.operators.vectors import Search, similarity_retriever, vector_table
 from tallyspark.session import configure
 from tallyspark.sources import files
 
@@ -45,10 +48,25 @@ class Lake:
         return f"{self.root}/{relative}"
 
     def read(self, relative: str) -> DataFrame:
+        layout = schemas.LAYOUTS.get(relative)
+        if layout:
+            return files.scan_layout(self.spark, self.path(relative), layout.columns)
         return files.scan_parquet(self.spark, self.path(relative))
 
     def write(self, df: DataFrame, relative: str) -> int:
-        return files.sink_parquet(df, self.path(relative))
+        return self.write_measured(df, relative)["rows"]
+
+    def write_measured(
+        self,
+        df: DataFrame,
+        relative: str,
+        measures: Mapping[str, Column] | None = None,
+        touched_only: bool = False,
+    ) -> dict[str, int]:
+        """Write a table in its layout, counted while written."""
+        layout = schemas.LAYOUTS.get(relative)
+        by, order = ((layout.partition_by,), layout.cluster_by) if layout else ((), ())
+        return files.sink_measured(df, self.path(relative), by, order, measures, touched_only)
 
     def bronze(self, name: str) -> DataFrame:
         return self.read(schemas.TABLES[name].bronze)
@@ -73,11 +91,17 @@ def _rows(df: DataFrame) -> list[dict]:
 def ingest_dataset(lake: Lake, name: str, load_id: str) -> int:
     spec = schemas.TABLES[name]
     raw = files.scan_jsonl(lake.spark, name, lake.path(spec.raw), spec.schema)
-    return lake.write(bronze_metadata(raw, load_id), spec.bronze)
+    stamped = bronze_metadata(raw, load_id)
+    found = Observation()
+    broken = F.col(schemas.CORRUPT_RECORD).isNotNull()
+    rows = lake.write(stamped.observe(found, F.count_if(broken).alias("broken")).filter(~is_no_record()), spec.bronze)
+    if found.get["broken"]:  # counted in the write; only then are those lines read again
+        lake.write(quarantine(name, stamped), f"{schemas.QUARANTINE}/{name}")
+    return rows
 
 
 def run_bronze_ingestion(lake: Lake, load_id: str | None = None) -> JobResult:
-    """Raw JSON lines to bronze tables."""
+    """Raw JSON lines to bronze tables; lines that are no records go to the quarantine."""
     load = load_id or str(uuid.uuid4())
     return JobResult({name: ingest_dataset(lake, name, load) for name in schemas.TABLES})
 
@@ -108,13 +132,47 @@ def run_silver_cleaning(lake: Lake) -> JobResult:
         lake.silver("reported_positions"),
         lake.silver("corporate_actions"),
     )
-    result.rows["flags"] = lake.write(_stamped(flags, "_silver_processed_at"), schemas.SILVER_FLAGS)
-    result.summary = _rows(flag_counts(lake.silver("flags")))
+    measured = lake.write_measured(
+        _stamped(flags, "_silver_processed_at"), schemas.SILVER_FLAGS, files.count_by("flag_type", tuple(FLAG_TEXTS))
+    )
+    result.rows["flags"] = measured["rows"]
+    kinds = files.counted(measured, "flag_type")
+    result.summary = (
+        _rows(flag_counts(lake.silver("flags")))
+        if kinds is None
+        else [{"flag_type": kind, "count": rows} for kind, rows in kinds.items()]
+    )
     return result
 
 
-def run_gold_reconciliation(lake: Lake, tolerance: float = 0.0) -> JobResult:
-    """Silver to reconstructed positions and the break table."""
+REASONS = (NOT_REPORTED, MATCH, *SIGNALS, MISMATCH)
+
+
+def _reconciled(measured: Mapping[str, int]) -> list[dict] | None:
+    """The rows of ``break_summary`` from what the write measured; None where codes are unknown."""
+    views = {"status": "reconciliation_status", "break_reason": "break_reason_code", "root_cause": "root_cause_reason_code"}
+    found = {measure: files.counted(measured, column) for measure, column in views.items()}
+    if None in found.values():
+        return None
+    total = {"total": {"ALL": measured["rows"]}} if measured["rows"] else {}
+    return [
+        {"measure": measure, "value": value, "rows": rows}
+        for measure, counts in sorted((found | total).items())
+        for value, rows in counts.items()
+    ]
+
+
+def run_gold_reconciliation(
+    lake: Lake, tolerance: float = 0.0, first: datetime.date | None = None, last: datetime.date | None = None
+) -> JobResult:
+    """Silver to reconstructed positions and the break table.
+
+    With ``first`` or ``last`` only the days between them are written anew, null dates
+    with the first; the other days of both tables stay as they are stored. The summary
+    is of the days written.
+    """
+    days = _between("position_date", first, last)
+    some = first is not None or last is not None
     positions = position_reconstruction(
         lake.silver("securities"),
         lake.silver("starting_positions"),
@@ -123,30 +181,45 @@ def run_gold_reconciliation(lake: Lake, tolerance: float = 0.0) -> JobResult:
         lake.silver("flags"),
         tolerance,
     )
-    result = JobResult()
-    result.rows["position_reconstruction"] = lake.write(
-        _stamped(positions, "_gold_processed_at"), schemas.GOLD_POSITIONS
+    is_break = F.col("reconciliation_status") == BREAK
+    measures = (
+        files.count_by("reconciliation_status", (MATCH, BREAK))
+        | files.count_by("break_reason_code", REASONS, is_break)
+        | files.count_by("root_cause_reason_code", REASONS, is_break)
     )
-    stored = lake.read(schemas.GOLD_POSITIONS)
-    result.rows["reconciliation_breaks"] = lake.write(
-        reconciliation_breaks(stored), schemas.GOLD_BREAKS
+    measured = lake.write_measured(
+        _stamped(positions.filter(days), "_gold_processed_at"), schemas.GOLD_POSITIONS, measures, some
     )
-    result.summary = _rows(break_summary(stored))
+    stored = lake.read(schemas.GOLD_POSITIONS).filter(days)
+    breaks = lake.write_measured(reconciliation_breaks(stored), schemas.GOLD_BREAKS, touched_only=some)
+    result = JobResult({"position_reconstruction": measured["rows"], "reconciliation_breaks": breaks["rows"]})
+    summary = _reconciled(measured)
+    result.summary = _rows(break_summary(stored)) if summary is None else summary
     return result
 
 
+def _between(column: str, first: datetime.date | None, last: datetime.date | None) -> Column:
+    """Whether a date lies between two days; an open end takes all, an open beginning the null date too."""
+    date, test = F.col(column), F.lit(True)
+    if first is not None:
+        test = test & (date >= F.lit(first))
+    if last is not None:
+        test = test & ((date <= F.lit(last)) | (date.isNull() if first is None else F.lit(False)))
+    return test
+
+
 def run_gold_event_window(lake: Lake) -> JobResult:
     """Event-window metrics from silver prices and events and gold positions."""
     events = lake.silver("filing_events")
     metrics = event_window_metrics(
         lake.silver("prices"), events, lake.read(schemas.GOLD_POSITIONS)
     )
-    result = JobResult()
-    result.rows["event_window_metrics"] = lake.write(
-        _stamped(metrics, "_gold_processed_at"), schemas.GOLD_EVENT_WINDOWS
+    measured = lake.write_measured(
+        _stamped(metrics, "_gold_processed_at"), schemas.GOLD_EVENT_WINDOWS, window_measures()
     )
-    result.summary = _rows(event_window_summary(events, lake.read(schemas.GOLD_EVENT_WINDOWS)))
-    return result
+    output = measured.pop("rows")
+    summary = {"output_rows": output, **measured, "partial_windows": output - measured["full_windows"]}
+    return JobResult({"event_window_metrics": output}, [summary | {"events": event_keys(events).first()[0]}])
 
 
 def run_build_investigation_corpus(lake: Lake) -> JobResult:
@@ -159,10 +232,11 @@ def run_build_investigation_corpus(lake: Lake) -> JobResult:
         lake.silver("trades"),
     )
     path = lake.path(schemas.CORPUS)
-    result = JobResult({"investigation_corpus": files.sink_corpus(corpus, path)})
-    stored = lake.spark.read.schema(files.CORPUS_SCHEMA).json(path)
-    result.summary = _rows(corpus_ops.corpus_counts(stored))
-    return result
+    kinds = (corpus_ops.BREAK_DOC, corpus_ops.EVENT_DOC, corpus_ops.QUALITY_DOC)
+    measured = files.sink_corpus(corpus, path, files.count_by("document_type", kinds))
+    counts = files.counted(measured, "document_type") or {}
+    summary = [{"document_type": kind, "count": rows} for kind, rows in counts.items()]
+    return JobResult({"investigation_corpus": measured["rows"]}, summary)
 
 
 def run_build_vector_table(lake: Lake, vectors: DataFrame | None = None) -> JobResult:
@@ -171,6 +245,20 @@ def run_build_vector_table(lake: Lake, vectors: DataFrame | None = None) -> JobR
     return JobResult({"vectors": lake.write(vector_table(corpus, vectors), schemas.VECTORS)})
 
 
+def run_build_vector_index(lake: Lake, metric: str = "l2") -> JobResult:
+    """The stored vectors to the index that searches go by; the metric belongs to the index."""
+    index = build_index(lake.read(schemas.VECTORS), lake.path(schemas.VECTOR_INDEX), metric)
+    return JobResult({"vector_index": index.rows})
+
+
+def _search(lake: Lake) -> Search | None:
+    """The search of the stored index, if one was built."""
+    try:
+        return open_index(lake.spark, lake.path(schemas.VECTOR_INDEX)).search
+    except FileNotFoundError:
+        return None
+
+
 def _vectors(lake: Lake) -> DataFrame | None:
     """The table of document vectors, if one was built."""
     try:
@@ -183,7 +271,7 @@ def query_vector_table(
     lake: Lake, queries: DataFrame, k: int = 5, asked: DataFrame | None = None
 ) -> DataFrame:
     """Nearest documents with distance and metadata for a table of (query_id, query)."""
-    return similarity_retriever(queries, lake.read(schemas.VECTORS), k, asked)
+    return similarity_retriever(queries, lake.read(schemas.VECTORS), k, asked, _search(lake))
 
 
 def run_investigation(
@@ -199,6 +287,7 @@ def run_investigation(
         _vectors(lake),
         k,
         asked,
+        _search(lake),
     )
 
 

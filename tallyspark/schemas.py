@@ -81,6 +81,9 @@ TABLES = {
     )
 }
 
+# Lines that are no records, one table for each dataset that has some.
+QUARANTINE = "bronze/quarantine"
+
 SPLIT_FACTORS = "silver/split_factors"
 SILVER_FLAGS = "silver/trade_quality_flags"
 SILVER_EVENTS = ("silver/events_clean", "silver/filing_events_clean")
@@ -89,3 +92,45 @@ GOLD_BREAKS = "gold/reconciliation_breaks"
 GOLD_EVENT_WINDOWS = "gold/event_window_metrics"
 CORPUS = "retrieval/investigation_corpus"
 VECTORS = "retrieval/vectors"
+VECTOR_INDEX = "retrieval/vector_index"
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How a stored table is laid out: a folder per value of one column, rows in order within a file.
+
+    The columns are fixed, so an empty table and one with only null dates read back as well.
+    """
+
+    partition_by: str
+    cluster_by: tuple[str, ...]
+    columns: str
+
+
+_CELL = "account_id string, security_id string, position_date date"
+_CAUSE = (
+    "break_reason_code string, root_cause_reason_code string, first_break_date date, "
+    "days_since_first_break int, is_cascading_break boolean"
+)
+_QUANTITIES = "expected_position double, reported_position double, position_difference double"
+
+LAYOUTS = {
+    SILVER_FLAGS: Layout(
+        "flag_date",
+        ("account_id", "security_id"),
+        "flag_id string, flag_type string, affected_entity string, affected_record_id string, account_id string, "
+        "security_id string, flag_date date, severity string, description string, _silver_processed_at timestamp",
+    ),
+    GOLD_POSITIONS: Layout(
+        "position_date",
+        ("account_id", "security_id"),
+        f"{_CELL}, starting_quantity double, cumulative_buy_quantity double, cumulative_sell_quantity double, "
+        f"{_QUANTITIES}, reconciliation_status string, {_CAUSE}, _gold_processed_at timestamp",
+    ),
+    GOLD_BREAKS: Layout(
+        "position_date",
+        ("account_id", "security_id"),
+        f"break_id string, {_CELL}, {_QUANTITIES}, {_CAUSE}, severity string, investigation_notes string, "
+        "_gold_processed_at timestamp",
+    ),
+}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyspark import schemas
 from tallyspark.functions.frames import union_all
+from tallyspark.operators.metric_index import open_index
 from tallyspark.plans import jobs
 from tallyspark.session import drop_folder, shared_folder
 from workbench.views import RAW_TABLES, RawLedger
@@ -42,6 +43,7 @@ LAYERS = {
     "events": ("positions", jobs.run_gold_event_window),
     "corpus": ("events", jobs.run_build_investigation_corpus),
     "vectors": ("corpus", jobs.run_build_vector_table),
+    "index": ("vectors", jobs.run_build_vector_index),
     "questions": ("positions", _write_questions),
 }
 
@@ -67,6 +69,8 @@ class LedgerLake(jobs.Lake):
             for name in RAW_TABLES:
                 path = self.path(schemas.TABLES[name].raw)
                 self.raw.table(name).write.mode("overwrite").json(path)
+            broken = self.path(schemas.TABLES["trades"].raw)
+            self.raw.broken_lines().select("line").write.mode("append").text(broken)
             self.results[layer] = jobs.JobResult()
         else:
             self.ensure(before)
@@ -89,6 +93,10 @@ class LedgerLake(jobs.Lake):
     def documents(self) -> DataFrame:
         return self.ensure("vectors").read(schemas.VECTORS)
 
+    def search(self):
+        """The search of the stored index of the documents."""
+        return open_index(self.spark, self.ensure("index").path(schemas.VECTOR_INDEX)).search
+
     def clean(self, name: str) -> DataFrame:
         """A silver table."""
         return self.ensure("silver").silver(name)

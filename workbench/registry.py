@@ -25,6 +25,7 @@ from tallyspark.operators import (
     grounding,
     investigation,
     ledger,
+    metric_index,
     positions,
     quality,
     splits,
@@ -105,7 +106,7 @@ class Ledger:
         return investigation.parse_query(self.lake.questions())
 
     def packets(self) -> DataFrame:
-        return jobs.run_investigation(self.lake.ensure("vectors"), self.lake.questions())
+        return jobs.run_investigation(self.lake.ensure("index"), self.lake.questions())
 
     def calendar(self) -> DataFrame:
         date = F.to_date("o_orderdate")
@@ -151,7 +152,7 @@ NUMBERS = (
 )
 
 
-def _flat_corpus(documents: DataFrame) -> DataFrame:
+def _flat_corpus(documents: DataFrame, *more: str) -> DataFrame:
     """Documents with their arrays and maps as text; measured numbers are left out."""
     keys = F.array_sort(F.map_keys("metadata"))
     kept = F.filter(keys, lambda key: ~key.isin(*NUMBERS))
@@ -162,13 +163,27 @@ def _flat_corpus(documents: DataFrame) -> DataFrame:
         *_columns(CORPUS_FLAT)[:8],
         F.array_join("source_tables", ",").alias("sources"),
         F.array_join(pairs, ";").alias("entries"),
+        *more,
     )
 
 
-@query("scan_jsonl", f"select {TRADE_RAW} from r_trades")
+NO_TRADE = ", ".join(f"null as {name}" for name in _columns(TRADE_RAW))
+
+
+@query(
+    "scan_jsonl",
+    f"select {TRADE_RAW}, null as broken from r_trades union all select {NO_TRADE}, line from v_broken",
+)
 def _(t):
     lake, spec = t.lake.ensure("raw"), schemas.TABLES["trades"]
-    return files.scan_jsonl(t.spark, "trades", lake.path(spec.raw), spec.schema).drop(schemas.CORRUPT_RECORD)
+    raw = files.scan_jsonl(t.spark, "trades", lake.path(spec.raw), spec.schema)
+    return raw.withColumnRenamed(schemas.CORRUPT_RECORD, "broken")
+
+
+@query("quarantine", "select 'trades' as dataset, line, reason, true as has_file from v_broken")
+def _(t):
+    lines = t.lake.ensure("bronze").read(f"{schemas.QUARANTINE}/trades")
+    return lines.select("dataset", "line", "reason", F.contains("_source_file", F.lit("raw/trades/")).alias("has_file"))
 
 
 @query("scan_parquet", f"select {TRADE_SILVER} from s_trades")
@@ -201,14 +216,20 @@ def _(t):
     return files.scan_first(t.spark, [f"{root}/{path}" for path in schemas.SILVER_EVENTS])
 
 
-@query("sink_corpus_jsonl", f"select {CORPUS_FLAT} from k_corpus")
+CORPUS_PLACE = ", ".join(f"{name} nulls first" for name in files.CORPUS_ORDER)
+
+
+@query(
+    "sink_corpus_jsonl",
+    f"select {CORPUS_FLAT}, row_number() over (order by {CORPUS_PLACE}) - 1 as place from k_corpus",
+)
 def _(t):
     path = f"{t.folder()}/corpus"
     documents = corpus.investigation_corpus(
         t.lake.breaks(), t.lake.metrics(), t.silver("filing_events"), t.silver("flags"), t.silver("trades")
     )
     files.sink_corpus(documents, path)
-    return _flat_corpus(t.spark.read.schema(files.CORPUS_SCHEMA).json(path))
+    return _flat_corpus(files.with_places(t.spark, path, files.CORPUS_SCHEMA), "place")
 
 
 @query("scan_corpus_jsonl", f"select {CORPUS_FLAT} from k_corpus")
@@ -263,7 +284,7 @@ def _(t):
 def _(t):
     lake, spec = t.lake.ensure("raw"), schemas.TABLES["trades"]
     raw = files.scan_jsonl(t.spark, "trades", lake.path(spec.raw), spec.schema)
-    return bronze.bronze_metadata(raw, "load-1").select(
+    return bronze.bronze_metadata(raw, "load-1").filter(~bronze.is_no_record()).select(
         *_columns(TRADE_RAW),
         "_bronze_load_id",
         F.contains("_source_file", F.lit("raw/trades/")).alias("has_file"),
@@ -388,16 +409,21 @@ def _(t):
 
 def _all_flags(t: Ledger) -> DataFrame:
     names = ("trades", "securities", "prices", "reported_positions", "corporate_actions")
-    return quality.trade_quality_flags(*[t.clean(name) for name in names])
+    return quality.trade_quality_flags(*[t.silver(name) for name in names])
 
 
 query("trade_quality_flags", "select * from s_flags")(_all_flags)
 query("flag_id", "select flag_id, flag_type, affected_record_id from s_flags")(
     lambda t: _all_flags(t).select("flag_id", "flag_type", "affected_record_id")
 )
-query("flag_counts", "select flag_type, count(*) as count from s_flags group by 1 order by 1")(
-    lambda t: quality.flag_counts(_all_flags(t))
+@query(
+    "flag_counts",
+    "select flag_type, count(*) as count, row_number() over (order by flag_type) - 1 as place from s_flags group by 1",
 )
+def _(t):
+    """A row per flag type, with its place as the operator returns them."""
+    rows = [(r["flag_type"], r["count"], place) for place, r in enumerate(quality.flag_counts(_all_flags(t)).collect())]
+    return t.spark.createDataFrame(rows, "flag_type string, count long, place long")
 
 
 def _rule(table: str, rule: str, record: str, source: str, condition: str) -> str:
@@ -787,7 +813,8 @@ def _(t):
         .select("query_id", F.transform("places", lambda p: p["centre"]).alias("vector"))
     )
     documents = stored.select(F.col("vec_id").alias("document_id"), F.col("embedding").alias("vector"))
-    return _rounded(vectors.knn_topk(centre, documents, 10), "distance")
+    index = metric_index.build_index(documents, t.folder())
+    return _rounded(index.search(centre, 10), "distance")
 
 
 @query(
@@ -796,7 +823,7 @@ def _(t):
     "from n_ranked join k_documents using (document_id) where rank <= 5",
 )
 def _(t):
-    found = vectors.similarity_retriever(t.lake.questions(), t.lake.documents(), 5)
+    found = vectors.similarity_retriever(t.lake.questions(), t.lake.documents(), 5, search=t.lake.search())
     return found.select(
         "query_id",
         "document_id",
@@ -817,7 +844,7 @@ query("security_evidence", "select query_id, document_id, cast(place as int) as
     lambda t: evidence.security_evidence(t.parsed(), t.lake.documents(), 5)
 )
 query("hybrid_evidence", "select query_id, document_id, cast(rank as int) as rank, is_exact from n_evidence")(
-    lambda t: evidence.hybrid_evidence(t.parsed(), t.lake.documents())
+    lambda t: evidence.hybrid_evidence(t.parsed(), t.lake.documents(), search=t.lake.search())
 )
 
 
@@ -1038,7 +1065,9 @@ query(
           and w.position_date = r.position_date""",
 )(
     lambda t: ledger.forward_split_positions(
-        t.clean("reported_positions"), t.clean("trades"), t.clean("corporate_actions")
+        t.silver("reported_positions").select(*_columns(CELL), "reported_quantity", "source_system"),
+        t.silver("trades"),
+        t.silver("corporate_actions"),
     )
 )
 ISSUE_KEY = "issue_type, affected_record_id, issue_date"

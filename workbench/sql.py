@@ -25,6 +25,11 @@ RAW = {
     "v_known": "select distinct cast(substr(p_brand, 7) as int) as s from part where cast(substr(p_brand, 7) as int) < 25",
     "v_days": "select distinct cast(o_orderdate as date) as d from orders",
     "v_pairs": "select distinct a, s from v_lines",
+    "v_broken": """
+        select case o_orderkey % 40 when 11 then printf('{"trade_id": "TRD%d', o_orderkey)
+                    when 12 then printf('"order %d"', o_orderkey) else printf('order %d is late', o_orderkey) end as line,
+               case o_orderkey % 40 when 12 then 'NOT_A_RECORD' else 'NOT_JSON' end as reason
+        from orders where o_orderkey % 40 in (11, 12, 13)""",
     "r_securities": """
         select printf(' sec%03d ', s) as security_id, printf('tkr%d', s) as ticker,
                printf(' Brand %d Inc. ', s) as company_name,
@@ -566,19 +571,28 @@ CORPUS = {
 }
 
 
-def _vector(text: str) -> str:
-    """Places are hashed once per text: the one-element list binds them."""
-    return f"""list_transform([list_transform(regexp_extract_all(lower({text}), '[a-z0-9]+(?:[.-][a-z0-9]+)*'),
-                                           lambda t: ('0x' || substr(md5(t), 1, 8))::bigint % 64)],
-        lambda places: list_transform(range(64), lambda i: len(list_filter(places, lambda x: x = i))::float))[1]"""
+def _vectors(key: str, text: str, table: str) -> str:
+    """A vector per row of a table: every different token is hashed once, then each text's places are counted."""
+    return f"""
+        with found as materialized (
+          select {key}, token, count(*) as n
+          from (select {key}, unnest(regexp_extract_all(lower({text}), '[a-z0-9]+(?:[.-][a-z0-9]+)*')) as token from {table})
+          group by 1, 2
+        ), places as materialized (
+          select token, ('0x' || substr(md5(token), 1, 8))::bigint % 64 as place from (select distinct token from found)
+        ), counted as (
+          select {key}, map_from_entries(list((place, n))) as counts
+          from (select {key}, place, sum(n)::float as n from found join places using (token) group by 1, 2) group by 1
+        )
+        select {key}, list_transform(range(64), lambda i: coalesce(counts[i], 0)::float)::float[64] as vector
+        from {table} left join counted using ({key})"""
 
 
 RETRIEVAL = {
-    "n_vectors": f"select document_id, ({_vector('text')})::float[64] as vector from k_documents",
+    "n_vectors": _vectors("document_id", "text", "k_documents"),
     "n_sized": "select document_id, vector, array_inner_product(vector, vector)::double as size from n_vectors",
-    "n_queries": f"""
-        select query_id, vector, array_inner_product(vector, vector)::double as size
-        from (select query_id, ({_vector('query')})::float[64] as vector from k_questions)""",
+    "n_questions": _vectors("query_id", "query", "k_questions"),
+    "n_queries": "select query_id, vector, array_inner_product(vector, vector)::double as size from n_questions",
     "n_cut": """
         select query_id, list_max(min(q.size + d.size - 2 * array_inner_product(q.vector, d.vector)::double, 15)) as cut
         from n_queries q cross join n_sized d group by 1""",

@@ -96,6 +96,17 @@ class RawLedger:
     def _order_dates(self) -> DataFrame:
         return self._read("orders").select(F.to_date("o_orderdate").alias("d"))
 
+    def broken_lines(self) -> DataFrame:
+        """Lines that are no trade records, one for some of the orders, and why."""
+        key = F.col("o_orderkey")
+        kinds = [
+            (11, F.format_string('{"trade_id": "TRD%d', key), "NOT_JSON"),
+            (12, F.format_string('"order %d"', key), "NOT_A_RECORD"),
+            (13, F.format_string("order %d is late", key), "NOT_JSON"),
+        ]
+        found = [F.when(key % 40 == at, F.struct(line.alias("line"), F.lit(why).alias("reason"))) for at, line, why in kinds]
+        return self._read("orders").select(F.coalesce(*found).alias("found")).filter("found is not null").select("found.*")
+
     def securities(self) -> DataFrame:
         s = F.col("s")
         return self._known_security_numbers().select(
