@@ -2,11 +2,13 @@
 
 1. Texts become arrays of terms (``[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+``, A-Z lower-cased). A term carries its
    language behind a zero byte, so one ``CountVectorizer`` counts documents per language.
-2. ``CountVectorizer`` with ``minDF`` and the greatest integer as ``vocabSize`` turns every document into an exact
-   sparse vector. Its vocabulary goes through the driver, so where the corpus has more than ``SLICE_TERMS`` distinct
-   terms the terms are dealt by hash into slices of about that many, one model each; models are stored, and their
+2. ``CountVectorizer`` with ``minDF`` and the greatest integer as ``vocabSize`` turns every document into exact
+   sparse vectors, one for the terms that occur once in it, one for those that occur twice and so on, so that no term
+   is read more than once a document and its rows are its documents. Its vocabulary goes through the driver, so where the corpus keeps more than ``SLICE_TERMS`` terms
+   they are dealt by hash into slices of about that many, one model each; models are stored, and their
    vocabularies read back as tables.
-3. The vectors' entries are summed by group (source and place in the vocabulary), merged inside the tasks first.
+3. The vectors are summed by group: each task adds up its documents' entries by source and place in the vocabulary,
+   and Spark merges the tasks' sums.
 4. Pairs: with a group's share of a term it doesn't hold as ``p0``, a pair's sum over all kept terms is
 
        sum over g's terms of f(p, p0 of h) + the same for h + (V - terms of g - terms of h) * f(p0 of g, p0 of h)
@@ -15,13 +17,14 @@
    so only terms that both hold are looked at by pair, and of the others only how often each share occurs. The
    sums are gathered inside the tasks; what leaves them is a row per pair of sources, which is the result's size.
 
-All arithmetic is on integers: counts up to 2^53, shares as decimals, sums of f as longs.
+All arithmetic is on integers: shares as decimals where longs don't do, sums of f as longs. The terms of one text
+are told apart by 64-bit hashes, so two of its different terms count as one with a probability of some 2^-64 a pair.
 
 Defined cases: null text, lang and source are empty strings; a lang whose terms are all too rare has pairs of value
 0 and no terms; a source with no kept terms has the share of a count of 0 everywhere; a lang with one source has no
 pairs; each row counts as a document, also where rows repeat an id (ids are not read); an empty table gives an empty
 result; columns other than text, lang and source are not read, so their names cannot clash; bytes that are no UTF-8
-are replaced in the terms by Spark when it reads them as strings.
+stay in the terms as they are.
 """
 
 from __future__ import annotations
@@ -38,14 +41,16 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.frames import top_rows
 from tallyspark.llm.store import settle
-from tallyspark.llm.text import Block, as_bytes, distinct, in_blocks, mix, small_batches, span_hashes
+from tallyspark.llm.text import Block, as_bytes, in_blocks, mix, small_batches, span_hashes
 from tallyspark.session import drop_folder, shared_folder
 
 MIN_DOCUMENTS = 10
 TOP_TERMS = 10
 VOCABULARY = 2**31 - 1
-# Distinct terms, rare ones included, that a model may meet: about what its vocabulary can hold at most.
-SLICE_TERMS = 1 << 20
+# Kept terms that one model's vocabulary should hold; how many there are is estimated from one term in SAMPLED,
+# of which all documents are counted.
+SLICE_TERMS = 1 << 19
+SAMPLED = 256
 # Tasks that the documents' terms of one slice are dealt to before they are stored, where there are several slices.
 SLICE_PARTS = 32
 SCALE = 1_000_000_000
@@ -70,20 +75,33 @@ def _spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return _LOWER[block.data[letter]], ends - (end - begin), ends, np.searchsorted(begin, block.starts)
 
 
-def _hashes(texts: list[bytes], langs: pa.Array) -> np.ndarray:
-    """A hash of each term with its language."""
+def _counted(texts: list[bytes], langs: pa.Array) -> tuple[pa.BinaryArray, np.ndarray, np.ndarray, np.ndarray]:
+    """The different terms of each text, by row and then by how often they occur.
+
+    Each with a zero byte and its language behind it; a hash of both; its row; how often.
+    """
     letters, begin, end, first = _spans(texts)
+    row = np.repeat(np.arange(len(texts)), np.diff(first))
     lang = np.array([xxhash.xxh3_64_intdigest(t) for t in as_bytes(langs)], dtype=np.uint64)
-    return mix(span_hashes(letters, begin, end) + np.repeat(lang, np.diff(first)))
-
-
-def _terms(texts: list[bytes], langs: pa.Array) -> tuple[pa.BinaryArray, np.ndarray]:
-    """Each term with a zero byte and its language behind it, and the number of its row."""
-    letters, _, end, first = _spans(texts)
+    hashes = mix(span_hashes(letters, begin, end) + lang[row])
+    key = mix(hashes + row.astype(np.uint64))
+    order = np.argsort(key)
+    edge = np.flatnonzero(np.diff(key[order], prepend=~key[order[:1]]))
+    times = np.diff(np.append(edge, len(order)))
+    one = order[edge]  # an occurrence of each
+    by_times = np.lexsort((times, row[one]))
+    one, times = one[by_times], times[by_times]
     offsets = pa.py_buffer(np.concatenate([[0], end]).astype(np.int32))
-    row = np.repeat(np.arange(len(texts)), np.diff(first))
     terms = pa.BinaryArray.from_buffers(pa.binary(), len(end), [None, offsets, pa.py_buffer(letters)])
-    return pc.binary_join_element_wise(terms, langs.cast(pa.binary()).take(pa.array(row)), b"\0"), row
+    keyed = pc.binary_join_element_wise(
+        terms.take(pa.array(one)), langs.cast(pa.binary()).take(pa.array(row[one])), b"\0"
+    )
+    return keyed, hashes[one], row[one], times
+
+
+def _lists_of(values: pa.Array, row: np.ndarray, rows: int) -> pa.ListArray:
+    """The values of each row as a list."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(rows + 1)).astype(np.int32)), values)
 
 
 def _rows(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
@@ -95,52 +113,128 @@ def _rows(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
     )
 
 
-def slices_of(rows: DataFrame, slice_terms: int) -> int:
-    """Into how many slices the terms go, from an estimate of how many distinct ones there are."""
+def document_terms(rows: DataFrame) -> DataFrame:
+    """``no, times, terms, sampled``: the terms of every whole text (lang, no, text) and the hashes of some of them.
+
+    A text has a row for each number of ``times`` that some of its terms occur, so each of its terms stands once.
+    A term is in ``sampled`` wherever it stands, or nowhere.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_blocks(batches):
-            found = distinct(_hashes(as_bytes(batch.column("text")), batch.column("lang")))
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["hash"])
+            terms, hashes, row, times = _counted(as_bytes(batch.column("text")), batch.column("lang"))
+            new = (np.diff(row, prepend=-1) != 0) | (np.diff(times, prepend=0) != 0)
+            first, part = np.flatnonzero(new), np.cumsum(new) - 1
+            some = hashes % np.uint64(SAMPLED) == 0
+            columns = [
+                batch.column("no").take(pa.array(row[first])),
+                pa.array(times[first].astype(np.int64)),
+                _lists_of(terms.view(pa.string()), part, len(first)),
+                _lists_of(pa.array(hashes[some].view(np.int64)), part[some], len(first)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["no", "times", "terms", "sampled"])
 
-    terms = rows.mapInArrow(run, "hash long").agg(F.approx_count_distinct("hash", 0.02)).first()[0]
-    return max(1, -(-terms // slice_terms))
+    found = "no int, times long, terms array<string>, sampled array<long>"
+    return rows.select("lang", "no", "text").mapInArrow(run, found)
 
 
-def document_terms(rows: DataFrame, slices: int) -> DataFrame:
-    """``slice, source, terms``: the terms of every whole text, dealt into slices."""
+def slices_of(terms: DataFrame, min_documents: int, slice_terms: int) -> int:
+    """How many slices the vocabulary takes, from the sampled terms that are kept."""
+    documents = terms.select(F.explode("sampled").alias("hash")).groupBy("hash").count()
+    kept = documents.filter(F.col("count") >= min_documents).count() * SAMPLED
+    return max(1, -(-kept // slice_terms))
+
+
+def deal_terms(terms: DataFrame, slices: int) -> DataFrame:
+    """The terms of each text by slice, those of one slice as one text with blanks between."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_blocks(batches):
-            texts = as_bytes(batch.column("text"))
-            terms, row = _terms(texts, batch.column("lang"))
-            at = np.zeros(len(row), dtype=np.int64)
-            if slices > 1:
-                at = (_hashes(texts, batch.column("lang")) % np.uint64(slices)).astype(np.int64)
-                order = np.lexsort((at, row))
-                terms, row, at = terms.take(pa.array(order)), row[order], at[order]
+        for batch in batches:
+            column = batch.column("terms")
+            row = np.repeat(np.arange(batch.num_rows), column.value_lengths().to_numpy(zero_copy_only=False))
+            words = column.flatten()
+            found = words.dictionary_encode()
+            number = np.array([xxhash.xxh3_64_intdigest(t) % slices for t in found.dictionary.to_pylist()], dtype=np.int64)
+            at = number[found.indices.to_numpy(zero_copy_only=False)] if len(words) else np.empty(0, dtype=np.int64)
+            order = np.lexsort((at, row))
+            row, at = row[order], at[order]
             first = np.flatnonzero(np.diff(row * slices + at, prepend=-1))
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.append(first, len(row)).astype(np.int32)), terms.view(pa.string())
-            )
-            columns = [pa.array(at[first].astype(np.int32)), batch.column("source").take(pa.array(row[first])), lists]
-            yield pa.RecordBatch.from_arrays(columns, names=["slice", "source", "terms"])
+            lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(row)).astype(np.int32)), words.take(pa.array(order)))
+            columns = [batch.column(name).take(pa.array(row[first])) for name in ("no", "times")]
+            columns = [pa.array(at[first].astype(np.int32)), *columns, pc.binary_join(lists, " ")]
+            yield pa.RecordBatch.from_arrays(columns, names=["slice", "no", "times", "terms"])
+
+    return terms.select("no", "times", "terms").mapInArrow(run, "slice int, no int, times long, terms string")
+
+
+def sliced(terms: DataFrame, slices: int) -> Iterator[DataFrame]:
+    """``no, times, terms`` of one slice after the other. Terms hold no blank, so they can be joined by blanks."""
+    if slices == 1:
+        yield terms.select("no", "times", "terms")
+        return
+    spark = terms.sparkSession
+    path = shared_folder(spark)
+    salt = F.spark_partition_id() % SLICE_PARTS
+    dealt = deal_terms(terms, slices).withColumn("_salt", salt)
+    dealt = dealt.repartition(slices * SLICE_PARTS, "slice", "_salt").drop("_salt")
+    dealt.write.option("compression", "zstd").partitionBy("slice").parquet(path)
+    stored = spark.read.schema("no int, times long, terms string, slice int").parquet(path)
+    for at in range(slices):
+        yield stored.filter(F.col("slice") == at).select("no", "times", F.split("terms", " ").alias("terms"))
+    drop_folder(spark, path)
 
-    return rows.mapInArrow(run, "slice int, source string, terms array<string>")
 
+class _Sums:
+    """Sums by key, merged whenever more than ``STEP`` have come together since the last time."""
 
-def store_terms(terms: DataFrame, slices: int) -> str:
-    """Write the terms, a folder for each slice, and say where."""
-    path = shared_folder(terms.sparkSession)
-    if slices > 1:
-        salt = F.spark_partition_id() % SLICE_PARTS
-        terms = terms.withColumn("_salt", salt).repartition(slices * SLICE_PARTS, "slice", "_salt").drop("_salt")
-    terms.write.option("compression", "zstd").partitionBy("slice").parquet(path)
-    return path
+    def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.values, self.size = [], [], 0
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        self.keys.append(keys)
+        self.values.append(values)
+        self.size += len(keys)
+        if self.size > STEP + 2 * len(self.keys[0]):
+            self.merge()
+
+    def merge(self) -> None:
+        keys, place = np.unique(np.concatenate(self.keys), return_inverse=True)
+        values = np.zeros(len(keys), dtype=np.int64)
+        np.add.at(values, place, np.concatenate(self.values))
+        self.keys, self.values, self.size = [keys], [values], len(keys)
+
+
+def vector_sums(vectors: DataFrame) -> DataFrame:
+    """``place, no, n``: what the sparse vectors (no, times, indices, values) of each task add up to."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = _Sums()
+
+        def passed_on() -> Iterator[pa.RecordBatch]:
+            if sums.keys:
+                sums.merge()
+                columns = [(sums.keys[0] >> 32).astype(np.int32), (sums.keys[0] & 0xFFFFFFFF).astype(np.int32), sums.values[0]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["place", "no", "n"])
+            sums.clear()
+
+        for batch in batches:
+            indices = batch.column("indices")
+            size = indices.value_lengths().to_numpy(zero_copy_only=False)
+            no, times = (np.repeat(batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64), size) for c in ("no", "times"))
+            place = indices.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            sums.add(place << 32 | no, times * batch.column("values").flatten().to_numpy(zero_copy_only=False).astype(np.int64))
+            if sums.size > 4 * STEP:
+                yield from passed_on()
+        yield from passed_on()
+
+    return vectors.mapInArrow(run, "place int, no int, n long")
 
 
 def slice_sums(terms: DataFrame, min_documents: int) -> DataFrame:
-    """``lang, term, source, n`` of one slice, from the sparse vectors of its documents."""
+    """``lang, term, held, n`` of one slice: how often its kept terms occur, by source and in all."""
     spark = terms.sparkSession
     # A term of no text stands in enough rows of its own: a vocabulary must not be empty.
     blank = spark.range(min_documents).select(F.array(F.lit("")).alias("terms"))
@@ -150,27 +244,26 @@ def slice_sums(terms: DataFrame, min_documents: int) -> DataFrame:
     model.write().save(path)
     words = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("place", "word")).filter("word <> ''")
     entries = F.unwrap_udt("vector")
-    sums = (
-        model.transform(terms)
-        .select("source", F.explode(F.arrays_zip(entries["indices"], entries["values"])).alias("entry"))
-        .groupBy("source", F.col("entry.indices").alias("place"))
-        .agg(F.sum(F.col("entry.values").cast("long")).alias("n"))
+    vectors = model.transform(terms).select("no", "times", entries["indices"].alias("indices"), entries["values"].alias("values"))
+    held = (
+        vector_sums(vectors)
+        .repartition("place")  # a term's rows are at most one per source and task
+        .groupBy("place", "no")
+        .agg(F.sum("n").alias("n"))
+        .groupBy("place")
+        .agg(F.sort_array(F.collect_list(F.struct("no", "n"))).alias("held"), F.sum("n").alias("n"))
     )
     word = F.split("word", "\0", 2)
-    return sums.join(words, "place").select(word[1].alias("lang"), word[0].alias("term"), "source", "n")
+    return held.join(words, "place").select(word[1].alias("lang"), word[0].alias("term"), "held", "n")
 
 
-def group_sums(rows: DataFrame, min_documents: int, slice_terms: int) -> DataFrame:
-    """``lang, term, source, n``: occurrences of the kept terms by group, a stored table."""
-    spark = rows.sparkSession
-    slices = slices_of(rows, slice_terms)
-    terms = store_terms(document_terms(rows, slices), slices)
+def group_sums(terms: DataFrame, min_documents: int, slice_terms: int) -> DataFrame:
+    """``lang, term, held, n`` of all kept terms, a stored table."""
+    spark = terms.sparkSession
     path = shared_folder(spark)
-    for at in range(slices):
-        part = spark.read.schema("source string, terms array<string>, slice int").parquet(terms).filter(F.col("slice") == at)
+    for part in sliced(terms, slices_of(terms, min_documents, slice_terms)):
         slice_sums(part, min_documents).write.mode("append").option("compression", "zstd").parquet(path)
-    drop_folder(spark, terms)
-    return spark.read.schema("lang string, term string, source string, n long").parquet(path)
+    return spark.read.schema("lang string, term string, held array<struct<no:int,n:bigint>>, n long").parquet(path)
 
 
 def share(n: Column, total: Column, terms: Column) -> Column:
@@ -199,26 +292,6 @@ def _both_ways(lang: str, a: np.ndarray, b: np.ndarray, value: np.ndarray) -> pa
     return pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate([value, value]))], schema=PAIR_ARROW)
 
 
-class _Sums:
-    """Sums by pair, merged whenever more than ``STEP`` have come together."""
-
-    def __init__(self) -> None:
-        self.keys, self.values, self.size = [], [], 0
-
-    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
-        self.keys.append(keys)
-        self.values.append(values)
-        self.size += len(keys)
-        if self.size > STEP:
-            self.merge()
-
-    def merge(self) -> None:
-        keys, place = np.unique(np.concatenate(self.keys), return_inverse=True)
-        values = np.zeros(len(keys), dtype=np.int64)
-        np.add.at(values, place, np.concatenate(self.values))
-        self.keys, self.values, self.size = [keys], [values], len(keys)
-
-
 def _shared(sums: _Sums, offsets: np.ndarray, no: np.ndarray, p: np.ndarray, rest: np.ndarray) -> None:
     """Add what the terms' shared parts differ from, for each pair of their sources."""
     sizes = np.diff(offsets)
@@ -308,12 +381,8 @@ def divergence(
     named = settle(
         rows.select("lang", "source").distinct().withColumn("no", F.row_number().over(in_lang) - 1)
     )
-    sums = group_sums(rows, min_documents, slice_terms).join(named, ["lang", "source"])
-    terms = settle(
-        sums.groupBy("lang", "term").agg(
-            F.sort_array(F.collect_list(F.struct("no", "n"))).alias("held"), F.sum("n").alias("n")
-        )
-    )
+    texts = rows.join(named, ["lang", "source"])
+    terms = group_sums(settle(document_terms(texts)), min_documents, slice_terms)
     # One row per lang: how many terms and occurrences, and those of its sources in order.
     each = (
         terms.select("lang", F.explode("held").alias("of"))

@@ -59,7 +59,8 @@ def made(n, seed):
 
 
 @pytest.mark.parametrize("slice_terms", [source_divergence.SLICE_TERMS, 30])
-def test_groups_and_slices(spark, slice_terms):
+def test_groups_and_slices(spark, slice_terms, monkeypatch):
+    monkeypatch.setattr(source_divergence, "SAMPLED", 1)
     rows = made(300, 1)
     found = source_divergence.divergence(table(spark, rows).repartition(5), slice_terms=slice_terms)
     assert result(found) == brute(rows, 10)
@@ -95,3 +96,11 @@ def test_long_texts_and_nothing(spark):
     assert result(source_divergence.divergence(table(spark, rows))) == brute(rows, 10)
     assert source_divergence.divergence(table(spark, [])).count() == 0
     assert result(source_divergence.divergence(table(spark, [(None, None, None)] * 3))) == []
+
+
+def test_slices_follow_the_kept_terms(spark, monkeypatch):
+    rows = [(" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(500)) + f" own{'x' * i}", "en", "s") for i in range(12)]
+    monkeypatch.setattr(source_divergence, "SAMPLED", 2)
+    terms = source_divergence.document_terms(table(spark, rows))  # text, lang and no are columns of it
+    assert 4 <= source_divergence.slices_of(terms, 10, 100) <= 6
+    assert source_divergence.slices_of(terms, 13, 100) == 1
