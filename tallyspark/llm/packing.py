@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.llm.store import settle
-from tallyspark.llm.text import in_blocks, texts
+from tallyspark.llm.text import as_bytes, in_blocks, texts
 from tallyspark.llm.wordcache import encoder
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, _part int, _number long"
@@ -33,20 +33,21 @@ PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
     """The pieces of every document, numbered within their length and task."""
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
         part = TaskContext.get().partitionId()
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer).encode_block
         made = np.zeros(capacity + 1, dtype=np.int64)
         for batch in in_blocks(batches):
             rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = encode(text or "") + end
-                total = len(ids) // 4
+            ids, lengths = encode(as_bytes(batch.column("text")))
+            block = memoryview(np.insert(ids, np.cumsum(lengths), end_id).astype("<u4")).cast("B")
+            stops = np.cumsum(lengths + 1).tolist()
+            for doc_id, first, stop in zip(batch.column("doc_id").to_pylist(), [0, *stops[:-1]], stops):
+                total = stop - first
                 for start in range(0, total, capacity):
-                    piece = ids[4 * start : 4 * (start + capacity)]
-                    length = len(piece) // 4
+                    length = min(capacity, total - start)
+                    piece = block[4 * (first + start) : 4 * (first + start + length)]
                     rows.append((doc_id, start, length, zlib.crc32(piece), total, part, int(made[length])))
                     made[length] += 1
             columns = list(zip(*rows))

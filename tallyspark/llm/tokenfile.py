@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyspark.llm import simple8b
-from tallyspark.llm.text import in_blocks, texts
+from tallyspark.llm.text import as_bytes, in_blocks, texts
 from tallyspark.llm.wordcache import encoder
 
 BLOCKS = "part int, block int, before long, total long, doc_ids array<long>, lengths array<int>, words binary, lanes binary"
@@ -29,15 +29,14 @@ BLOCK_TEXT = 1 << 20
 
 def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 1) -> None:
     """Encode every text, append ``end_id`` and write the token files below ``path``."""
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
-        part, encode = TaskContext.get().partitionId(), encoder(tokenizer).encode
+        part, encode = TaskContext.get().partitionId(), encoder(tokenizer).encode_block
         before = 0
         for block, batch in enumerate(in_blocks(batches, BLOCK_TEXT)):
-            ids = [encode(text or "") + end for text in batch.column("text").to_pylist()]
-            lengths = [len(i) // 4 for i in ids]
-            words, lanes = simple8b.encode(np.frombuffer(b"".join(ids), dtype="<u4"))
+            ids, lengths = encode(as_bytes(batch.column("text")))
+            words, lanes = simple8b.encode(np.insert(ids, np.cumsum(lengths), end_id))
+            lengths = (lengths + 1).tolist()
             total = sum(lengths)
             columns = [
                 pa.array([part], pa.int32()),

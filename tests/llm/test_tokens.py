@@ -23,7 +23,6 @@ ODD = [
 
 def reference(name):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -41,6 +40,31 @@ def test_chunks_give_the_library_ids(name, sample):
         assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == ids(text)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_blocks_give_the_library_ids(name, sample):
+    """Also texts with added tokens, nulls, and texts beside one that goes through the library whole."""
+    ids, encoder = reference(name), wordcache.ChunkEncoder(public_tokenizers.path(name))
+    texts = [None, *ODD, "a <|endoftext|> b", "x<|startoftext|>y", "<|ENDOFTEXT|>", *[t for _, t in sample[:60]], "", None]
+    for part in (texts, texts[::-1], texts[:1], []):
+        found, lengths = encoder.encode_block([(t or "").encode() for t in part])
+        cut = np.split(found, np.cumsum(lengths)[:-1]) if part else []
+        assert [c.tolist() for c in cut] == [ids(t) for t in part]
+
+
+def test_blocks_forget_and_find_again(monkeypatch):
+    monkeypatch.setattr(wordcache, "TABLE", 4)
+    encoder, ids = wordcache.ChunkEncoder(public_tokenizers.path("word_bpe_49k.json")), reference("word_bpe_49k.json")
+    for texts in (["a b c a", "d e f g"], ["a c e", "h"], ["g b", "x" * 70 + " a"], [""]):
+        found, lengths = encoder.encode_block([t.encode() for t in texts])
+        assert [c.tolist() for c in np.split(found, np.cumsum(lengths)[:-1])] == [ids(t) for t in texts]
+
+
+def test_blocks_replace_bytes_that_are_no_text():
+    encoder = wordcache.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    found, _ = encoder.encode_block([b"a \xff\xfe b\xc3"])
+    assert found.tolist() == reference("byte_bpe_50k.json")("a \ufffd\ufffd b\ufffd")
+
+
 def test_remembered_chunks_are_bounded(monkeypatch):
     monkeypatch.setattr(wordcache, "REMEMBERED", 3)
     encoder = wordcache.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"))
