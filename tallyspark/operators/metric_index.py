@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tallyspark.functions.frames import top_rows
 from tallyspark.operators.vectors import _estimates, _exact, _matrix, _squares, checked_vectors
 from tallyspark.session import drop_folder, shared_folder
-from tallyspark.sources.files import scan_first
+from tallyspark.sources.files import scan_first, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -169,9 +169,9 @@ def build_index(
     # Within a cell the documents lie by distance, so a task's part is a ring or a few.
     dealt = assign(usable, pivots, metric).repartition("cell", F.pmod(F.xxhash64("document_id"), F.lit(8)))
     dealt.write.mode("overwrite").partitionBy("cell").parquet(f"{path}/documents")
-    stored = _documents(spark, path)
+    dealt = _stored_documents(spark, path)
     length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x))
-    found = stored.groupBy("cell").agg(
+    found = dealt.groupBy("cell").agg(
         F.count(F.lit(1)).alias("documents"),
         F.min("radius").alias("least"),
         F.max("radius").alias("greatest"),
@@ -190,7 +190,7 @@ def build_index(
     return open_index(spark, path)
 
 
-def _documents(spark: SparkSession, path: str) -> DataFrame:
+def _stored_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORED).parquet(f"{path}/documents")
 
 
@@ -321,7 +321,7 @@ class MetricIndex:
             return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
         held = (
-            _documents(self.spark, self.path)
+            _stored_documents(self.spark, self.path)
             .join(seen, "cell")
             .select("cell", one_of("document_id", "parts").alias("part"), every("blocks").alias("block"),
                     F.lit(False).alias("asked"), F.col("document_id").alias("id"), "vector", F.col("radius").alias("at"))
@@ -358,7 +358,8 @@ class MetricIndex:
         return meeting.mapInArrow(run, FOUND)
 
     def _rounds(self, queries: DataFrame, k: int) -> tuple[DataFrame, DataFrame, list[str]]:
-        questions = checked_vectors(queries, "query_id").withColumn("limit", F.lit(float("inf")))
+        # The questions are looked at several times, so they are computed once.
+        questions = stored(checked_vectors(queries, "query_id")).withColumn("limit", F.lit(float("inf")))
         first = shared_folder(self.spark)
         self._measure(self._asked(questions, k, True), k).write.parquet(first)
         near = self.spark.read.schema(FOUND).parquet(first)
