@@ -172,10 +172,10 @@ def detection_scorecard(manifest: DataFrame, flags: DataFrame, breaks: DataFrame
         return F.when(F.col("_mask").bitwiseAND(F.lit(1 << bit)) != 0, value)
 
     keys = ("category", "_mask", "trade_id", *[f"_{name}" for name in places])
+    asked = issues.groupBy(*keys).agg(F.count(F.lit(1)).alias("_issues"))
     # Flags and breaks are cut to the keys that issues name before any of them is shuffled.
     found = (
         detected.withColumn("day", F.col("day").cast("string"))
-        .join(issues.select("category").distinct(), "category", "left_semi")
         .withColumn("_mask", F.explode(masks))
         .select(
             "category",
@@ -185,7 +185,7 @@ def detection_scorecard(manifest: DataFrame, flags: DataFrame, breaks: DataFrame
         )
         .alias("f")
         .join(
-            issues.select(*keys).distinct().alias("i"),
+            asked.select(*keys).alias("i"),
             [F.col(f"i.{key}").eqNullSafe(F.col(f"f.{key}")) for key in keys],
             "left_semi",
         )
@@ -193,10 +193,10 @@ def detection_scorecard(manifest: DataFrame, flags: DataFrame, breaks: DataFrame
         .withColumn("_found", F.lit(True))
     )
     same = [F.col(f"i.{key}").eqNullSafe(F.col(f"f.{key}")) for key in keys]
-    hits = F.count_if("_found")
-    rows = F.count(F.lit(1))
+    hits = F.sum(F.when(F.col("_found"), F.col("_issues")).otherwise(0))
+    rows = F.sum("_issues")
     return (
-        issues.alias("i")
+        asked.alias("i")
         .join(found.alias("f"), same, "left")
         .groupBy(F.col("i.category").alias("category"))
         .agg(rows.alias("issues"), hits.alias("found"), (rows - hits).alias("missed"))
