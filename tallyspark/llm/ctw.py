@@ -9,9 +9,11 @@ mix the estimates along a context's path, down to its deepest node that was seen
 one distribution. Texts start after line feeds.
 
 Texts are dealt into blocks once. The distinct cells (seven bytes and the next) of a block go to
-buckets by their last four context bytes, so a bucket holds whole subtrees; it is folded once for
-the sums that the upper tree needs and once to answer the blocks' cells, which meet their texts
-again by block. Only the upper tree (at most 32^3 contexts) travels to all tasks.
+buckets by their last four context bytes, so a bucket holds whole subtrees. A bucket is folded once
+and stored as one row: its cells with their counts, its sums for the upper tree, and the places of
+each block's cells among them. The rows answer the blocks' cells, which meet their texts again by
+block. Only the upper tree's nodes that some cell passes travel to all tasks (at most 32^3 contexts
+of 255 decisions).
 
 The unigram base needs the count of every training word, a table that grows with the corpus: the
 ``HEAD`` commonest words travel to the tasks, all others meet their counts in a join.
@@ -33,8 +35,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.store import settle
+from tallyspark.llm.store import settle, shuffles_dropped
 from tallyspark.llm.text import as_bytes, in_blocks, mix, small_batches, texts
+from tallyspark.session import drop_folder, shared_folder
 
 DEPTH = 3
 CLASSES = 32
@@ -50,8 +53,9 @@ DEEP, DEALT = 7, 4
 DEEP_BLOCK = 16 << 20
 # Answers travel as 24-bit steps of a log10 probability (which is above -128).
 STEP = 2.0**-17
-# Buckets of up to 2 GB of text; their number grows with the square root from there.
-BUCKETS = 128
+# Buckets of up to 2 GB of text; from there their number grows with the text, and beyond the second
+# number with the square root, so that a block's cells don't fall apart into pieces of a few each.
+BUCKETS, EVEN_BUCKETS = 128, 1 << 12
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -250,13 +254,14 @@ def _distinct_cells(texts_: list[bytes]) -> np.ndarray:
 def pack_pieces(texts_: list[bytes], train: np.ndarray, buckets: int):
     """(bucket, size, keys, counts) of a block's distinct cells; cells of other than training texts count 0."""
     key, begin, end = deep_cells(texts_)
-    seen = _inside(key, begin, end, train)
+    seen, other = _inside(key, begin, end, train), _inside(key, begin, end, ~train)
     del key
     seen.sort()
     first = _runs(seen)
     times = np.diff(np.append(first, len(seen)))
     seen = seen[first]
-    keys = seen if train.all() else _distinct_cells(texts_)
+    other.sort()
+    keys = np.union1d(seen, other[_runs(other)]) if len(other) else seen
     n = np.zeros(len(keys), dtype=np.uint32)
     n[np.searchsorted(keys, seen)] = times
     order, bucket = _dealt(keys, buckets)
@@ -309,13 +314,12 @@ class Level:
 
 
 def _levels(keys: np.ndarray, n: np.ndarray, bit: int) -> tuple[np.ndarray, list[Level]]:
-    """The order of the cells by path and context, and the levels from the deepest up."""
-    shift = np.uint64(8 - bit)
-    path = (keys & np.uint64(255)) >> shift
-    sort_key = (path << np.uint64(56)) | (keys >> np.uint64(8))
-    order = np.argsort(sort_key)
-    key, count = sort_key[order], n[order]
-    one = ((keys[order] >> np.uint64(7 - bit)) & np.uint64(1)).astype(bool)
+    """The order of the cells (given in order) by path and context, and the levels from the deepest up."""
+    path = ((keys & np.uint64(255)) >> np.uint64(8 - bit)).astype(np.uint8)
+    order = np.argsort(path, kind="stable")
+    ordered, count = keys[order], n[order]
+    key = (path[order].astype(np.uint64) << np.uint64(56)) | (ordered >> np.uint64(8))
+    one = ((ordered >> np.uint64(7 - bit)) & np.uint64(1)).astype(bool)
     zeros, ones, below, half = np.where(one, 0, count), np.where(one, count, 0), None, np.log(0.5)
     levels = []
     for depth in range(DEEP, DEALT - 1, -1):
@@ -341,7 +345,10 @@ def _upper_cells(key: np.ndarray, bit: int) -> np.ndarray:
 
 
 def fold_sums(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``deep, cell, value``: log weighted probability below each upper node, and counts of the upper cells."""
+    """``deep, cell, value``: log weighted probability below each upper node, and counts of the upper cells.
+
+    Every node that ``cell_logs`` asks of the upper tree is among the deep ones.
+    """
     out = []
     for bit in range(8):
         top = _levels(keys, n, bit)[1][-1]
@@ -355,9 +362,9 @@ def fold_sums(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 @dataclass
 class Upper:
-    """What the nodes of depth 0 to 3 give to a decision, what they leave, and the value where nothing deeper was seen."""
+    """By cell, in order: what the nodes of depth 0 to 3 give to a decision, what they leave, and the value where nothing deeper was seen."""
 
-    row: np.ndarray
+    cell: np.ndarray
     given: np.ndarray
     left: np.ndarray
     alone: np.ndarray
@@ -368,9 +375,8 @@ def cell_logs(keys: np.ndarray, n: np.ndarray, upper: Upper) -> np.ndarray:
     logs = np.zeros(len(keys))
     for bit in range(8):
         order, levels = _levels(keys, n, bit)
-        at = _upper_cells(levels[-1].key, bit)
-        row, column = upper.row[at >> 8], at & 255
-        given, left, final = upper.given[row, column], upper.left[row, column], upper.alone[row, column]
+        at = np.searchsorted(upper.cell, _upper_cells(levels[-1].key, bit))
+        given, left, final = upper.given[at], upper.left[at], upper.alone[at]
         for k, level in enumerate(reversed(levels)):
             if k:
                 above = levels[len(levels) - k]
@@ -392,14 +398,12 @@ def upper_tree(sums) -> Upper:
     counts[cell[~deep]] = np.rint(value[~deep]).astype(np.int64)
     below = np.zeros(CONTEXTS * 256)
     below[cell[deep]] = value[deep]
-    used = np.unique(cell >> 8)
-    row = np.zeros(CONTEXTS, dtype=np.int32)
-    row[used] = np.arange(len(used))
-    given, left, alone = (np.zeros((len(used), 256)) for _ in range(3))
+    asked = np.sort(cell[deep])
+    given, left, alone = (np.zeros(len(asked)) for _ in range(3))
     shape = (CLASSES, CLASSES, CLASSES, 256)
     counts, below = counts.reshape(shape), below.reshape(shape)[..., 1:]
     near, (p0, w0) = _near(counts, below)
-    nearest = used & (CLASSES - 1)
+    nearest = (asked >> 8) & (CLASSES - 1)
     for c1, (p1, _, w1, p2, w2) in enumerate(near):
         mine = np.flatnonzero(nearest == c1)
         if not len(mine):
@@ -409,10 +413,10 @@ def upper_tree(sums) -> Upper:
         total, rest = np.zeros_like(p3), np.ones_like(p3)
         for p, w in ((p0, w0), (p1, w1), (p2, w2)):
             total, rest = total + rest * w * p, rest * (1 - w)
-        at = used[mine] >> 5
+        at, decision = asked[mine] >> 13, (asked[mine] & 255) - 1
         for out, part in ((given, total + rest * w3 * p3), (left, rest * (1 - w3)), (alone, total + rest * p3)):
-            out[mine, 1:] = part.reshape(-1, 255)[at]
-    return Upper(row, given, left, alone)
+            out[mine] = part.reshape(-1, 255)[at, decision]
+    return Upper(asked, given, left, alone)
 
 
 def block_scores(texts_: list[bytes], buckets: int, answers: list[tuple[int, int, bytes]]) -> np.ndarray:
@@ -551,34 +555,72 @@ def _gathered(batches):
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
-def answer_pieces(pieces: DataFrame) -> DataFrame:
-    """``block, bucket, size, logs``: the log10 probabilities of each piece's cells."""
-    spark = pieces.sparkSession
+BUCKET = (
+    "bucket int, size int, keys binary, counts binary, sums array<struct<deep:boolean,cell:long,value:double>>, "
+    "blocks array<struct<block:long,size:int,places:binary>>"
+)
 
-    def sums(table: pa.Table) -> pa.Table:
-        return pa.table(dict(zip(("deep", "cell", "value"), fold_sums(*_merged(table)))))
 
-    folded = pieces.groupBy("bucket").applyInArrow(sums, "deep boolean, cell long, value double")
-    shared = spark.sparkContext.broadcast(upper_tree(folded.groupBy("deep", "cell").agg(F.sum("value").alias("value")).toPandas()))
+def fold_buckets(pieces: DataFrame) -> DataFrame:
+    """One row a bucket: its cells and their counts, its sums for the upper tree, and each block's places among the cells."""
 
-    def answers(table: pa.Table) -> pa.Table:
+    def fold(table: pa.Table) -> pa.Table:
         keys, n = _merged(table)
-        logs = np.rint(cell_logs(keys, n, shared.value) / -STEP).astype("<u4")
-        out = []
+        sums = pa.StructArray.from_arrays([pa.array(c) for c in fold_sums(keys, n)], names=["deep", "cell", "value"])
+        places = []
         for size, packed in zip(table["size"].to_pylist(), table["keys"]):
             mine = np.cumsum(_unpacked(packed.as_py(), "<u8", size), dtype=np.uint64)
-            out.append(_packed(logs[np.searchsorted(keys, mine)], 3))
-        return table.select(["block", "bucket", "size"]).append_column("logs", pa.array(out, pa.binary()))
+            places.append(_packed(np.diff(np.searchsorted(keys, mine), prepend=0).astype("<u4")))
+        blocks = pa.StructArray.from_arrays(
+            [table["block"].combine_chunks(), table["size"].combine_chunks(), pa.array(places, pa.binary())],
+            names=["block", "size", "places"],
+        )
+        columns = [
+            table["bucket"].combine_chunks()[:1],
+            pa.array([len(keys)], pa.int32()),
+            pa.array([_packed(np.diff(keys, prepend=np.uint64(0)))], pa.binary()),
+            pa.array([_packed(n.astype("<i8"))], pa.binary()),
+            pa.ListArray.from_arrays(pa.array([0, len(sums)], pa.int32()), sums),
+            pa.ListArray.from_arrays(pa.array([0, len(blocks)], pa.int32()), blocks),
+        ]
+        return pa.table(columns, names=[n for n, _ in _names(BUCKET)])
+
+    return pieces.groupBy("bucket").applyInArrow(fold, BUCKET)
+
+
+def answer_buckets(buckets: DataFrame) -> DataFrame:
+    """``block, bucket, size, logs``: the log10 probabilities of each block's cells in each bucket."""
+    sums = buckets.select(F.explode("sums").alias("s")).groupBy("s.deep", "s.cell").agg(F.sum("s.value").alias("value"))
+    shared = buckets.sparkSession.sparkContext.broadcast(upper_tree(sums.toPandas()))
 
-    return pieces.groupBy("bucket").applyInArrow(answers, "block long, bucket int, size int, logs binary")
+    def run(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                bucket, size, keys, counts, blocks = (batch.column(c)[row] for c in range(5))
+                keys = np.cumsum(_unpacked(keys.as_py(), "<u8", size.as_py()), dtype=np.uint64)
+                logs = np.rint(cell_logs(keys, _unpacked(counts.as_py(), "<i8", len(keys)), shared.value) / -STEP).astype("<u4")
+                numbers, sizes, places = blocks.values.flatten()
+                out = []
+                for length, packed in zip(sizes.to_pylist(), places):
+                    out.append(_packed(logs[np.cumsum(_unpacked(packed.as_py(), "<u4", length), dtype=np.int64)], 3))
+                columns = [numbers, pa.array([bucket.as_py()] * len(out), pa.int32()), sizes, pa.array(out, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "bucket", "size", "logs"])
+
+    rows = buckets.select("bucket", "size", "keys", "counts", "blocks")
+    return rows.mapInArrow(run, "block long, bucket int, size int, logs binary")
 
 
 PARTS = (
-    "row_id long, doc_id long, held_out boolean, n_tokens long, n_bytes long, known long, logs double, score double, "
+    "block long, place int, doc_id long, held_out boolean, n_tokens long, n_bytes long, known long, logs double, score double, "
     "rare array<struct<word:binary,times:int>>"
 )
 
 
+def bucket_count(size: int) -> int:
+    even = BUCKETS * max(1.0, size / (2 << 30))
+    return int(even if even <= EVEN_BUCKETS else (even * EVEN_BUCKETS) ** 0.5)
+
+
 def score_documents(docs: DataFrame, held_out) -> DataFrame:
     """Learn from the rows where ``held_out`` (a column) is not true, score all rows.
 
@@ -593,8 +635,9 @@ def score_documents(docs: DataFrame, held_out) -> DataFrame:
         F.coalesce(F.sum((~F.col("held_out")).cast("long")), F.lit(0)).alias("ends"),
         F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes"),
     ).first()
-    ends, buckets = sizes["ends"], int(BUCKETS * max(1.0, (sizes["bytes"] / (2 << 30)) ** 0.5))
-    blocks = settle(deal_blocks(rows))
+    ends, buckets = sizes["ends"], bucket_count(sizes["bytes"])
+    scratch = [shared_folder(spark) for _ in range(2)]
+    blocks = settle(deal_blocks(rows), path=scratch[0])
     tokens, distinct = words["n"] + ends, words["distinct"] + (ends > 0)
     common = _commonest(vocabulary).toPandas()
     head = dict(zip(map(bytes, common["word"]), np.log10(common["n"].to_numpy(dtype=np.float64) + 0.5).tolist()))
@@ -628,7 +671,8 @@ def score_documents(docs: DataFrame, held_out) -> DataFrame:
                 [pa.array(rare_words, pa.binary()), pa.array(rare_times, pa.int32())], names=["word", "times"]
             )
             columns = [
-                pa.array(range(number << 24, (number << 24) + len(bodies)), pa.int64()),
+                pa.array([number] * len(bodies), pa.int64()),
+                pa.array(range(len(bodies)), pa.int32()),
                 batch.column("doc_id"),
                 batch.column("held_out"),
                 pa.array(counts, pa.int64()),
@@ -641,16 +685,19 @@ def score_documents(docs: DataFrame, held_out) -> DataFrame:
             out.append(pa.RecordBatch.from_arrays(columns, names=[n for n, _ in _names(PARTS)]))
         return pa.Table.from_batches(out)
 
-    logs = answer_pieces(cell_pieces(blocks, buckets))
-    parts = settle(blocks.groupBy("block").cogroup(logs.groupBy("block")).applyInArrow(run, PARTS))
+    with shuffles_dropped(spark):
+        logs = answer_buckets(settle(fold_buckets(cell_pieces(blocks, buckets)), path=scratch[1]))
+        parts = settle(blocks.groupBy("block").cogroup(logs.groupBy("block")).applyInArrow(run, PARTS))
+    for path in scratch:
+        drop_folder(spark, path)
     shared.unpersist()
-    rare = parts.select("row_id", F.explode("rare").alias("r")).select("row_id", "r.word", "r.times")
-    counted = rare.join(vocabulary, "word", "left").groupBy("row_id").agg(
+    rare = parts.select("block", "place", F.explode("rare").alias("r")).select("block", "place", "r.word", "r.times")
+    counted = rare.join(vocabulary, "word", "left").groupBy("block", "place").agg(
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
         F.sum(F.col("times") * F.log10(F.coalesce(F.col("n"), F.lit(0)) + 0.5)).alias("rare_logs"),
     )
     whole = float(np.log10(tokens + 0.5 * (distinct + 1)))
-    return parts.drop("rare").join(counted, "row_id", "left").select(
+    return parts.drop("rare").join(counted, ["block", "place"], "left").select(
         "doc_id",
         "held_out",
         "n_tokens",

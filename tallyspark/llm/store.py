@@ -2,22 +2,39 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark.session import shared_folder
 
 
-def settle(df: DataFrame, compression: str = "zstd") -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
+def settle(df: DataFrame, compression: str = "zstd", path: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder (or ``path`` below it) and read it back.
 
     Later reads see the same rows whatever executor is lost meanwhile.
     """
     spark = df.sparkSession
-    path = shared_folder(spark)
+    path = path or shared_folder(spark)
     schema = df.schema
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Let executors remove the shuffle files of a query as soon as it has ended: what it wrote is in its table."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def empty(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
