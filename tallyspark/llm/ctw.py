@@ -195,9 +195,11 @@ def deep_cells(texts_: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     lengths = np.fromiter((len(t) for t in texts_), dtype=np.int64, count=len(texts_))
     begin = np.cumsum(lengths + DEEP) - lengths - DEEP
     n = len(data) - DEEP
-    key = data[DEEP:].astype(np.uint64)
+    key = np.empty((n, 8), dtype=np.uint8)  # little-endian: the byte first, the nearest byte of context last
+    key[:, 0] = data[DEEP:]
     for back in range(1, DEEP + 1):
-        key |= data[DEEP - back : DEEP - back + n].astype(np.uint64) << np.uint64(64 - 8 * back)
+        key[:, 8 - back] = data[DEEP - back : DEEP - back + n]
+    key = key.view("<u8").ravel()
     return key, begin, begin + lengths
 
 
@@ -216,11 +218,12 @@ def _counted(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.add.reduceat(n[order], first) if len(first) else n[:0]
 
 
-def _inside(key: np.ndarray, begin: np.ndarray, end: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    step = np.zeros(len(key) + 1, dtype=np.int64)
-    np.add.at(step, begin[chosen], 1)
-    np.add.at(step, end[chosen], -1)
-    return key[np.cumsum(step[:-1]) > 0]
+def _inside(key: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The places of texts, without those between them."""
+    step = np.zeros(len(key) + 1, dtype=np.int8)
+    np.add.at(step, begin, 1)
+    np.add.at(step, end, -1)
+    return key[np.cumsum(step[:-1], dtype=np.int8) > 0]
 
 
 def _dealt(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -244,24 +247,23 @@ def _unpacked(data: bytes, kind: str, size: int, width: int | None = None) -> np
     return out.view(kind).ravel()
 
 
-def _distinct_cells(texts_: list[bytes]) -> np.ndarray:
-    key, begin, end = deep_cells(texts_)
-    keys = _inside(key, begin, end, np.ones(len(texts_), dtype=bool))
-    keys.sort()
-    return keys[_runs(keys)]
+def _block_cells(texts_: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct cells in order, and how often each stands in the texts; a slice of the texts at a time."""
+    parts = [(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))]
+    for part in _slices(texts_, DEEP_BLOCK >> 3):
+        key = _inside(*deep_cells(part))
+        key.sort()
+        first = _runs(key)
+        parts.append((key[first], np.diff(np.append(first, len(key)))))
+    return _counted(*(np.concatenate(c) for c in zip(*parts)))
 
 
 def pack_pieces(texts_: list[bytes], train: np.ndarray, buckets: int):
     """(bucket, size, keys, counts) of a block's distinct cells; cells of other than training texts count 0."""
-    key, begin, end = deep_cells(texts_)
-    seen, other = _inside(key, begin, end, train), _inside(key, begin, end, ~train)
-    del key
-    seen.sort()
-    first = _runs(seen)
-    times = np.diff(np.append(first, len(seen)))
-    seen = seen[first]
-    other.sort()
-    keys = np.union1d(seen, other[_runs(other)]) if len(other) else seen
+    seen, times = _block_cells([t for t, chosen in zip(texts_, train) if chosen])
+    other, _ = _block_cells([t for t, chosen in zip(texts_, train) if not chosen])
+    keys = np.sort(np.concatenate([seen, other]))
+    keys = keys[_runs(keys)]
     n = np.zeros(len(keys), dtype=np.uint32)
     n[np.searchsorted(keys, seen)] = times
     order, bucket = _dealt(keys, buckets)
@@ -293,9 +295,8 @@ def _kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
         at = np.arange(_SMALL, dtype=np.float64)
         _KT.append(_log_kt(at[:, None], at[None, :]))
         _KT[0][0, 0] = 0.0
-    small = (zeros < _SMALL) & (ones < _SMALL)
-    out = _KT[0][np.where(small, zeros, 0), np.where(small, ones, 0)]
-    large = ~small
+    large = (zeros >= _SMALL) | (ones >= _SMALL)
+    out = _KT[0].ravel().take(np.where(large, 0, zeros * _SMALL + ones))
     if large.any():
         out[large] = _log_kt(zeros[large].astype(np.float64), ones[large].astype(np.float64))
     return out
@@ -329,8 +330,10 @@ def _levels(keys: np.ndarray, n: np.ndarray, bit: int) -> tuple[np.ndarray, list
         if below is None:
             weighted, weight = own, np.ones(len(own))
         else:
-            weighted = np.logaddexp(half + own, half + np.add.reduceat(below, first))
-            weight = np.exp(half + own - weighted)
+            below = np.add.reduceat(below, first)
+            less = np.exp(-np.abs(own - below))  # of the two, the lesser by the greater
+            weighted = np.maximum(own, below) + np.log(1 + less) + half
+            weight = np.where(own >= below, 1.0, less) / (1 + less)
         below = weighted
         levels.append(Level(key, (ones + 0.5) / (zeros + ones + 1.0), zeros + ones > 0, weight, weighted, first))
         key = key >> np.uint64(8)
@@ -421,7 +424,7 @@ def upper_tree(sums) -> Upper:
 
 def block_scores(texts_: list[bytes], buckets: int, answers: list[tuple[int, int, bytes]]) -> np.ndarray:
     """log10 probability of each text of a block, from its cells' answers by bucket."""
-    known = _distinct_cells(texts_)
+    known, _ = _block_cells(texts_)
     order, _ = _dealt(known, buckets)
     logs = np.zeros(len(known))
     if answers:
