@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.store import settle, shuffles_dropped
+from tallyspark.llm.store import settings, settle
 from tallyspark.llm.text import as_bytes, in_blocks, mix, small_batches, texts
 from tallyspark.session import drop_folder, shared_folder
 
@@ -498,6 +498,14 @@ def _commonest(vocabulary: DataFrame) -> DataFrame:
     return vocabulary.filter(step >= least)
 
 
+# Blocks and buckets are rows of megabytes: few of them stand in the JVM and in a worker at once. A
+# query's shuffle files go when it has ended, since what it wrote is in its table.
+WIDE_ROWS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "4",
+    "spark.sql.parquet.columnarReaderBatchSize": "4",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
+
 BLOCKS = "block long, body binary"
 PIECES = "block long, bucket int, size int, keys binary, counts binary"
 
@@ -688,7 +696,7 @@ def score_documents(docs: DataFrame, held_out) -> DataFrame:
             out.append(pa.RecordBatch.from_arrays(columns, names=[n for n, _ in _names(PARTS)]))
         return pa.Table.from_batches(out)
 
-    with shuffles_dropped(spark):
+    with settings(spark, WIDE_ROWS):
         logs = answer_buckets(settle(fold_buckets(cell_pieces(blocks, buckets)), path=scratch[1]))
         parts = settle(blocks.groupBy("block").cogroup(logs.groupBy("block")).applyInArrow(run, PARTS))
     for path in scratch:

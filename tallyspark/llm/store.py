@@ -22,18 +22,19 @@ def settle(df: DataFrame, compression: str = "zstd", path: str | None = None) ->
 
 
 @contextmanager
-def shuffles_dropped(spark: SparkSession):
-    """Let executors remove the shuffle files of a query as soon as it has ended: what it wrote is in its table."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for the queries that run inside, put back afterwards."""
+    before = {key: spark.conf.get(key, None) for key in values}
     try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def empty(spark: SparkSession, schema: str) -> DataFrame:
