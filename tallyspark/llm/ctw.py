@@ -248,14 +248,15 @@ def _unpacked(data: bytes, kind: str, size: int, width: int | None = None) -> np
 
 
 def _block_cells(texts_: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct cells in order, and how often each stands in the texts; a slice of the texts at a time."""
-    parts = [(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))]
+    """Distinct cells in order, and how often each stands in the texts."""
+    key, at = np.empty(sum(map(len, texts_)), dtype=np.uint64), 0
     for part in _slices(texts_, DEEP_BLOCK >> 3):
-        key = _inside(*deep_cells(part))
-        key.sort()
-        first = _runs(key)
-        parts.append((key[first], np.diff(np.append(first, len(key)))))
-    return _counted(*(np.concatenate(c) for c in zip(*parts)))
+        found = _inside(*deep_cells(part))
+        key[at : at + len(found)] = found
+        at += len(found)
+    key.sort()
+    first = _runs(key)
+    return key[first], np.diff(first, append=len(key)).astype(np.uint32)
 
 
 def pack_pieces(texts_: list[bytes], train: np.ndarray, buckets: int):
@@ -501,8 +502,8 @@ def _commonest(vocabulary: DataFrame) -> DataFrame:
 # Blocks and buckets are rows of megabytes: few of them stand in the JVM and in a worker at once. A
 # query's shuffle files go when it has ended, since what it wrote is in its table.
 WIDE_ROWS = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "4",
-    "spark.sql.parquet.columnarReaderBatchSize": "4",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2",
+    "spark.sql.parquet.columnarReaderBatchSize": "2",
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
