@@ -38,11 +38,17 @@ class JobResult:
 
 
 class Lake:
-    """The stored tables below one root folder."""
+    """The stored tables below one root folder.
 
-    def __init__(self, spark: SparkSession, root: str):
+    ``by_day`` gives positions, breaks and flags a folder per day. Where a day is far
+    below a file's size the folders cost more than their rows; without them the rows of
+    a file lie by day, then account and security, and days can't be replaced alone.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, by_day: bool = True):
         self.spark = configure(spark)
         self.root = root.rstrip("/")
+        self.by_day = by_day
 
     def path(self, relative: str) -> str:
         return f"{self.root}/{relative}"
@@ -66,6 +72,10 @@ class Lake:
         """Write a table in its layout, counted while written."""
         layout = schemas.LAYOUTS.get(relative)
         by, order = ((layout.partition_by,), layout.cluster_by) if layout else ((), ())
+        if not self.by_day:
+            if touched_only:
+                raise ValueError(f"{relative} has no folders by day, so single days can't be replaced")
+            by, order = (), (*by, *order)
         return files.sink_measured(df, self.path(relative), by, order, measures, touched_only)
 
     def bronze(self, name: str) -> DataFrame:

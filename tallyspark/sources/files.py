@@ -99,6 +99,7 @@ def sink_measured(
     """
     if partition_by and cluster_by:
         df = df.hint("rebalance", *[F.col(name) for name in partition_by])
+    if cluster_by:
         df = df.sortWithinPartitions(*partition_by, *cluster_by)
     rows, seen = _observed(df, measures or {})
     writer = rows.write.mode("overwrite")

@@ -48,6 +48,20 @@ def _files(lake):
     return lake.read(schemas.GOLD_POSITIONS).select(*names).distinct().collect()
 
 
+def test_without_folders_by_day(spark, lake):
+    flat = jobs.Lake(spark, lake.path("flat"), by_day=False)
+    flat.write(positions(spark), schemas.GOLD_POSITIONS)
+    stored = flat.read(schemas.GOLD_POSITIONS)
+    assert sorted(stored.collect(), key=str) == sorted(positions(spark).select(*stored.columns).collect(), key=str)
+    rows = stored.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"), "position_date", "account_id")
+    by_file = {}
+    for r in rows.orderBy("file", "at").collect():
+        by_file.setdefault(r.file, []).append((r.position_date, r.account_id))
+    assert by_file and all(found == sorted(found) for found in by_file.values())
+    with pytest.raises(ValueError, match="by day"):
+        flat.write_measured(positions(spark), schemas.GOLD_POSITIONS, touched_only=True)
+
+
 def test_full_write_drops_days_that_are_gone(spark, lake):
     lake.write(positions(spark), schemas.GOLD_POSITIONS)
     lake.write(positions(spark, DAYS[:2]), schemas.GOLD_POSITIONS)

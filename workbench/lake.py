@@ -50,7 +50,8 @@ LAYERS = {
 
 class LedgerLake(jobs.Lake):
     def __init__(self, spark: SparkSession, sf_dir: str):
-        super().__init__(spark, shared_folder(spark))
+        # A day of the test tables is some hundred rows.
+        super().__init__(spark, shared_folder(spark), by_day=False)
         self.raw = RawLedger(spark, sf_dir)
         self.results: dict[str, jobs.JobResult] = {}
         self._frames: dict[str, DataFrame] = {}
