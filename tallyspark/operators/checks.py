@@ -165,30 +165,27 @@ def detection_scorecard(manifest: DataFrame, flags: DataFrame, breaks: DataFrame
     issues = issues.withColumn(
         "_mask", F.when(F.col("trade_id").isNotNull(), by_trade).otherwise(sum(bits[1:], bits[0]))
     )
-    # Which keys issues name: at most nine numbers, whatever the manifest.
-    masks = issues.agg(F.collect_set("_mask")).scalar()
+    # Which keys the issues of a category name: at most nine numbers each, whatever the manifest.
+    named_by = issues.agg(F.collect_set(F.struct("category", "_mask"))).scalar()
 
     def named(value: Column, bit: int) -> Column:
         return F.when(F.col("_mask").bitwiseAND(F.lit(1 << bit)) != 0, value)
 
     keys = ("category", "_mask", "trade_id", *[f"_{name}" for name in places])
     asked = issues.groupBy(*keys).agg(F.count(F.lit(1)).alias("_issues"))
-    # Flags and breaks are cut to the keys that issues name before any of them is shuffled.
+    # A flag or break is written only for the masks of its category, and once a task for equal keys.
     found = (
         detected.withColumn("day", F.col("day").cast("string"))
-        .withColumn("_mask", F.explode(masks))
+        .withColumn("_pair", F.explode(named_by))
+        .filter(F.col("_pair.category").eqNullSafe(F.col("category")))
+        .withColumn("_mask", F.col("_pair._mask"))
         .select(
             "category",
             "_mask",
             *[named(F.col(name), bit).alias(f"_{name}") for bit, name in enumerate(places)],
             named(F.col("trade_id"), len(places)).alias("trade_id"),
         )
-        .alias("f")
-        .join(
-            asked.select(*keys).alias("i"),
-            [F.col(f"i.{key}").eqNullSafe(F.col(f"f.{key}")) for key in keys],
-            "left_semi",
-        )
+        .filter((F.col("_mask") != by_trade) | F.col("trade_id").isNotNull())
         .distinct()
         .withColumn("_found", F.lit(True))
     )
