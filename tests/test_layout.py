@@ -195,3 +195,30 @@ def test_repeated_trades_by_a_small_filter(spark, monkeypatch):
     ).withColumn("ingestion_timestamp", F.lit(None).cast("timestamp"))
     flags = quality.trade_flags(trades, None, None, kinds=("DUPLICATE_TRADE",)).collect()
     assert sorted((r.affected_record_id, r.account_id) for r in flags) == [("t7", "a"), ("t7", "b"), ("t8", "a")]
+
+
+def test_corpus_sink_is_gzipped_with_same_lines_and_places(spark, tmp_path):
+    """The corpus folder is gzipped JSON lines; rows and their places by file and line stay."""
+    n = 500
+    df = spark.range(n).select(
+        F.lit("break").alias("document_type"),
+        F.format_string("S%03d", F.col("id") % 7).alias("security_id"),
+        F.format_string("A%03d", F.col("id") % 11).alias("account_id"),
+        F.lit(None).cast("date").alias("position_date"),
+        F.lit(None).cast("date").alias("event_date"),
+        F.format_string("d%04d", "id").alias("document_id"),
+        F.format_string("text %d", "id").alias("text"),
+    )
+    path = str(tmp_path / "corpus")
+    assert files.sink_corpus(df.repartition(5), path)["rows"] == n
+    parts = [p.name for p in (tmp_path / "corpus").iterdir() if p.name.startswith("part-")]
+    assert parts and all(name.endswith(".json.gz") for name in parts)
+    for size in ("128m", "2k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            found = sorted((r.place, r.document_id) for r in files.with_places(spark, path, files.CORPUS_SCHEMA).collect())
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        ordered = sorted(df.collect(), key=lambda r: (r.security_id, r.account_id, r.document_id))
+        assert found == [(i, r.document_id) for i, r in enumerate(ordered)]
+    assert files.scan_corpus(spark, path).count() == n
