@@ -2,8 +2,9 @@
 
 Patterns give base spans, which always stay. A candidate is a run of 16 or more characters of
 ``[A-Za-z0-9+/_.=-]`` with a digit; the network reads all of it, in windows, with the text before
-and after. It is trained in numpy on the patterns' labelled findings against the other candidates
-and plain words, its scores are calibrated on held-out findings, and the threshold is the highest
+and after. It is trained on all the patterns' labelled findings against the other candidates
+and plain words, by Adam steps in Spark tasks whose states are averaged each round; its scores are
+calibrated by Spark sums on held-out windows (those whose hash is 0 mod 5), and the threshold is the highest
 that still reaches ``RECALL`` there. Candidates apart from base spans that reach it are added.
 
 Defined cases: null and empty texts have no spans; null ids stay; repeated rows are searched each;
@@ -13,11 +14,13 @@ columns are not read. Offsets count code points, ends are exclusive.
 
 from __future__ import annotations
 
+import pickle
 import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +39,10 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 WORD = re.compile(r"[A-Za-z]{10,}")
 DIGIT = re.compile(r"[0-9]")
 
-# Distinct windows of each label that the network is trained on at most; those with the least hash.
+# Distinct windows of each label that learn(rows=TRAINING_ROWS) trains on at most; by default it trains on all of them.
 TRAINING_ROWS = 3000
+# Training windows a task takes in one round of averaged Adam steps, about.
+PARTITION_ROWS = 4096
 BEFORE, INSIDE, AFTER = 24, 64, 8
 LENGTH = BEFORE + INSIDE + AFTER
 EMBED, FILTERS, SPAN = 8, 24, 5
@@ -248,9 +253,51 @@ def labelled_windows(docs: DataFrame) -> DataFrame:
     return texts(docs).mapInArrow(run, "codes binary, label int")
 
 
-def learn(docs: DataFrame, rows: int = TRAINING_ROWS) -> Network | None:
-    """Train on a bounded sample of each label's distinct windows; None where a label has no finding."""
+def learn(docs: DataFrame, rows: int | None = None, seed: int = 7) -> Network | None:
+    """Train on every distinct window of each label; None where a label has no finding.
+
+    ``rows`` bounds each label to its windows of least hash and trains on the driver instead.
+    """
     found = labelled_windows(docs).distinct()
+    if rows is not None:
+        return _learn_sample(found, rows)
+    spark = found.sparkSession
+    found = found.withColumn("held", F.pmod(F.xxhash64("codes"), F.lit(5)) == 0)
+    by_label = {r["label"]: (r["n"], r["held"]) for r in found.groupBy("label").agg(F.count("*").alias("n"), F.sum(F.col("held").cast("long")).alias("held")).collect()}
+    if len(by_label) < 2:
+        return None
+    for value, (n, held) in by_label.items():  # a fifth, at least one window of each label where it has more than one
+        if not held and n > 1:
+            least = found.where(F.col("label") == value).orderBy(F.xxhash64("codes"), "codes").select("codes").limit(1)
+            found = found.join(least.withColumn("_least", F.lit(True)), "codes", "left").select(
+                "codes", "label", (F.col("held") | F.col("_least").isNotNull()).alias("held"))
+    count = sum(n for n, _ in by_label.values())
+    parts = max(1, count // PARTITION_ROWS + 1)
+    rows_ = found.repartition(parts, "codes").sortWithinPartitions("codes", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fit = rows_.where(~F.col("held")).select("codes", "label")
+        n_fit = fit.count()
+        random = np.random.default_rng(seed)
+        net = Network(
+            random.normal(0, 0.3, (CODES, EMBED)).astype(np.float32),
+            random.normal(0, 0.3, (SPAN * (EMBED + 1), FILTERS)).astype(np.float32),
+            np.zeros(FILTERS, dtype=np.float32),
+            random.normal(0, 0.3, FILTERS + 1).astype(np.float32),
+        )
+        params = [net.embedding, net.filters, net.bias, net.out]
+        state = (params, [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0.0)
+        epochs = max(EPOCHS, LEAST_STEPS * BATCH // max(1, n_fit))
+        passes = -(-epochs // EPOCHS)
+        for round_ in range(min(EPOCHS, epochs)):
+            state = _averaged(fit.mapInArrow(_local_steps(state, seed, round_, passes), "n long, state binary").collect(), state)
+        net.embedding, net.filters, net.bias, net.out = state[0]
+        _calibrated(net, rows_.where(F.col("held")).select("codes", "label"))
+    finally:
+        rows_.unpersist()
+    return net
+
+
+def _learn_sample(found: DataFrame, rows: int) -> Network | None:
     sample = top_rows(found, ["label"], [F.xxhash64("codes"), F.col("codes")], rows, "_rank").select("codes", "label").collect()
     label = np.array([r["label"] for r in sample], dtype=np.int64)
     if len(np.unique(label)) < 2:
@@ -260,6 +307,82 @@ def learn(docs: DataFrame, rows: int = TRAINING_ROWS) -> Network | None:
     return train(codes[order], label[order])
 
 
+def _local_steps(state, seed: int, round_: int, passes: int):
+    """Adam over the task's windows from the shared state, in random batches; the task's state comes back."""
+    blob = pickle.dumps(state)
+
+    def run(batches):
+        params, moment, square, step = pickle.loads(blob)
+        tables = [b for b in batches if b.num_rows]
+        if not tables:
+            return
+        codes = np.frombuffer(b"".join(bytes(x) for b in tables for x in b.column("codes").to_pylist()), dtype=np.uint8).reshape(-1, LENGTH)
+        label = np.concatenate([b.column("label").to_numpy(zero_copy_only=False) for b in tables]).astype(np.int64)
+        net = Network(*params)
+        parts = [net.embedding, net.filters, net.bias, net.out]
+        random = np.random.default_rng([seed, round_, TaskContext.get().partitionId()])
+        for _ in range(passes):
+            rows = random.permutation(len(label))
+            for i in range(0, len(rows), BATCH):
+                mine, step = rows[i : i + BATCH], step + 1
+                for k, slope in enumerate(_slopes(net, codes[mine], label[mine])):
+                    moment[k] = 0.9 * moment[k] + 0.1 * slope
+                    square[k] = 0.999 * square[k] + 0.001 * slope**2
+                    parts[k] -= RATE * (moment[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.999**step)) + 1e-8)
+        out = pickle.dumps((parts, moment, square, step))
+        yield pa.RecordBatch.from_arrays([pa.array([len(label)], pa.int64()), pa.array([out], pa.binary())], names=["n", "state"])
+
+    return run
+
+
+def _averaged(rows, state):
+    """States of the tasks averaged by their windows, in the order of the tasks."""
+    if not rows:
+        return state
+    weights = np.array([r["n"] for r in rows], dtype=np.float64)
+    weights /= weights.sum()
+    states = [pickle.loads(bytes(r["state"])) for r in rows]
+    mean = [[sum(w * s[j][k] for w, s in zip(weights, states)).astype(np.float32) for k in range(4)] for j in range(3)]
+    return (*mean, float(sum(w * s[3] for w, s in zip(weights, states))))
+
+
+def _calibrated(net: Network, held: DataFrame) -> None:
+    """Calibration by Newton steps over Spark sums, threshold at the recall of the held-out findings."""
+
+    def run(batches):
+        for batch in batches:
+            codes = np.frombuffer(b"".join(bytes(x) for x in batch.column("codes").to_pylist()), dtype=np.uint8).reshape(-1, LENGTH)
+            z = net.logits(codes).astype(np.float32) if len(codes) else np.zeros(0, np.float32)
+            yield pa.RecordBatch.from_arrays([pa.array(z, pa.float32()), batch.column("label")], names=["z", "label"])
+
+    scored = held.mapInArrow(run, "z float, label int").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        z, t = F.col("z").cast("double"), F.col("label").cast("double")
+        a, b = 1.0, 0.0
+        for _ in range(25):
+            p = 1 / (1 + F.exp(-F.least(F.greatest(F.lit(a) * z + F.lit(b), F.lit(-30.0)), F.lit(30.0))))
+            w = p * (1 - p)
+            s = scored.agg(
+                F.sum((p - t) * z), F.sum(p - t), F.sum(w * z * z), F.sum(w * z), F.sum(w)
+            ).first()
+            s = [float(x or 0.0) for x in s]
+            slope = np.array([s[0] + 0.1 * (a - 1), s[1] + 0.1 * b])
+            curve = np.array([[s[2] + 0.1, s[3]], [s[3], s[4] + 0.1]])
+            change = np.linalg.solve(curve, slope)
+            a, b = a - float(np.clip(change[0], -1, 1)), b - float(np.clip(change[1], -1, 1))
+        net.slope, net.shift = max(a, 1e-3), b
+        found = scored.where(F.col("label") == 1)
+        n = found.count()
+        if n:
+            k = int((1 - RECALL) * n)
+            lowest = found.orderBy("z").select("z").limit(k + 1).collect()[-1]["z"]
+            net.threshold = float(_logistic(net.slope * np.array([lowest], dtype=np.float32) + net.shift)[0])
+        else:
+            net.threshold = 1.0
+    finally:
+        scored.unpersist()
+
+
 def find_spans(texts_: list[str], net: Network | None) -> list[list[tuple[str, int, int, bool, float]]]:
     """All spans of each text: by start, then kind."""
     based = [base_spans(text) for text in texts_]

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyspark.llm import secret_scan
 
@@ -50,3 +51,16 @@ def test_every_window_of_a_candidate_is_learned_from(documents):
         wanted += [(w, int(any(s < min(b, at + secret_scan.INSIDE) and e > at for s, _, e in base))) for w, at in zip(parts, starts)]
     assert len(wanted) == 5 + 3 + 3 and sum(label for _, label in wanted) == 3
     assert found == sorted(wanted)
+
+
+def test_every_distinct_window_is_trained_on(documents, monkeypatch):
+    seen = []
+    averaged = secret_scan._averaged
+    monkeypatch.setattr(secret_scan, "_averaged", lambda rows, state: seen.append(sum(r["n"] for r in rows)) or averaged(rows, state))
+    rows = [(k, f"see {k:05d}aBcDeFgHiJkLmNo or token = 9x{k:05d}yyyyzzzzwwww end") for k in range(secret_scan.TRAINING_ROWS * 3 // 2)]
+    docs = documents(rows + rows[:50]).repartition(3)
+    net = secret_scan.learn(docs)
+    found = secret_scan.labelled_windows(docs).distinct()
+    fit = found.where(F.pmod(F.xxhash64("codes"), F.lit(5)) != 0)
+    assert net is not None and seen and set(seen) == {fit.count()}
+    assert fit.where("label = 1").count() > secret_scan.TRAINING_ROWS
