@@ -99,6 +99,22 @@ def test_term_vector_counts_tokens(spark):
     assert sum(got["a"]) == 3.0 and max(got["a"]) >= 2.0 and sum(got["b"]) == 0.0
 
 
+def test_term_vector_of_odd_texts(spark, monkeypatch):
+    """The same counts as SQL's md5 of each token gives, also when the places known are dropped meanwhile."""
+    monkeypatch.setattr(vectors, "KNOWN", 3)
+    texts = ["A--b a.-b x. .y 1.2.3-z", "\u0130STANBUL caf\u00e9 \u212a9 \U0001f600x9", "", None, " ", "a a a-a a.a"]
+    df = spark.createDataFrame([(i, text) for i, text in enumerate(texts)], "id int, text string")
+    tokens = F.expr(r"explode(regexp_extract_all(lower(text), '[a-z0-9]+(?:[.-][a-z0-9]+)*', 0))")
+    place = F.expr("cast(conv(substring(md5(token), 1, 8), 16, 10) as bigint) % 64")
+    counted = df.select("id", tokens.alias("token")).groupBy("id", place.alias("place")).count().collect()
+    wanted = {i: [0.0] * 64 for i in range(len(texts))}
+    for row in counted:
+        wanted[row["id"]][row["place"]] = float(row["count"])
+    shown = df.select("id", vectors.term_vector("text").alias("v"))
+    assert {row["id"]: row["v"] for row in shown.collect()} == wanted
+    assert "ArrowEvalPython" in shown._jdf.queryExecution().executedPlan().toString()  # no lambda over each token
+
+
 def test_source_tables_parse_back(spark):
     df = spark.createDataFrame([('["a","b"]',), ("",), ("plain",)], "s string")
     got = {r.s: r.p for r in df.select("s", vectors.parsed_source_tables("s").alias("p")).collect()}
