@@ -99,3 +99,24 @@ def test_large_numbers_do_not_cancel(spark):
     index = metric_index.build_index(frame(spark, named, "document_id"), shared_folder(spark), cell_rows=10)
     found = rows(index.search(frame(spark, [("q", [1e8, 1.0])], "query_id"), 3))
     assert [r[2:] for r in found] == [("d000", 0.0), ("d001", 1.0), ("d002", 4.0)]
+
+
+def test_a_small_cell_is_one_file(spark):
+    """A folder of a few rows in many files costs more than its rows."""
+    from pathlib import Path
+
+    points, _ = clustered(4, 2000)
+    documents = frame(spark, [(f"d{i:04d}", p) for i, p in enumerate(points)], "document_id")
+    index = metric_index.build_index(documents, shared_folder(spark), "l2", cell_rows=50)
+    folders = [*Path(index.path, "documents").glob("cell=*")]
+    assert len(folders) == len(index.cells.cell) > 20
+    assert all(len([*folder.glob("*.parquet")]) == 1 for folder in folders)
+    assert index.cells.longest == pytest.approx(float(np.sqrt((points**2).sum(axis=1).max())))
+
+
+def test_nearest_pivot_block_by_block(monkeypatch):
+    points, pivots = clustered(5, 500)
+    whole = ((points[:, None, :] - pivots[None, :, :]) ** 2).sum(axis=2).argmin(axis=1)
+    for values in (1, 7 * len(pivots), 1 << 18):
+        monkeypatch.setattr(metric_index, "NEAR_VALUES", values)
+        assert metric_index._nearest_pivot(points, pivots).tolist() == whole.tolist()
