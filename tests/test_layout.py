@@ -172,6 +172,24 @@ def test_broken_lines_go_to_the_quarantine(spark, lake, tmp_path):
     assert all(r._source_file.endswith("part.jsonl") and r.dataset == "starting_positions" for r in found)
 
 
+def test_only_files_with_broken_lines_are_read_again(spark, lake, tmp_path, monkeypatch):
+    folder = tmp_path / "raw" / "starting_positions"
+    folder.mkdir(parents=True)
+    fine = '{"account_id": "ACC00%d", "security_id": "SEC001", "position_date": "2024-01-01", "quantity": 3.0}'
+    for at in range(4):
+        (folder / f"fine {at}.jsonl").write_text(fine % at + "\n")
+    (folder / "odd name%20\u00e9.jsonl").write_text(fine % 7 + "\nplain text\nplain text\n")
+    (folder / "other.jsonl").write_text("17\n")
+    read = []
+    whole = jobs.quarantine
+    monkeypatch.setattr(jobs, "quarantine", lambda name, rows: read.append(rows) or whole(name, rows))
+    assert jobs.ingest_dataset(lake, "starting_positions", "load") == 5
+    found = [(r.line, r.reason) for r in lake.read(f"{schemas.QUARANTINE}/starting_positions").collect()]
+    assert sorted(found) == [("17", bronze.NOT_A_RECORD)] + [("plain text", bronze.NOT_JSON)] * 2
+    again = {r._source_file.rsplit("/", 1)[1][:5] for r in read[0].select("_source_file", "_bronze_load_id").collect()}
+    assert again == {"odd%2", "other"}
+
+
 def test_places_of_sorted_lines(spark, tmp_path):
     df = spark.range(1000).select(F.format_string("k%05d", (F.col("id") * 7919) % 1000).alias("k"))
     path = str(tmp_path / "sorted")
