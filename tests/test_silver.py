@@ -99,6 +99,28 @@ def test_trade_flags(table):
     assert digest in {r.flag_id for r in flags}
 
 
+def test_kinds_of_a_trade_without_a_lambda(table):
+    """Several kinds, one or none on a trade; the plan holds no lambda over a row's kinds."""
+    trades = table(
+        "trade_id string, account_id string, security_id string, quantity double, execution_price double, trade_date date, ingestion_timestamp timestamp",
+        [
+            ("none", "A", "S", 1.0, 1.0, "2024-01-02", "2024-01-02T09:00:00"),
+            ("all", "A", "X", None, -1.0, "2024-01-02", "2024-01-03T09:00:00"),
+            ("late", "A", "S", 1.0, 1.0, "2024-01-02", "2024-01-03T09:00:00"),
+            (None, None, None, 0.0, 1.0, None, None),
+        ],
+    )
+    kinds = ("UNKNOWN_SECURITY", "INVALID_QUANTITY", "INVALID_PRICE", "LATE_ARRIVING_TRADE")
+    securities = table("security_id string", [("S",)])
+    flags = quality.trade_flags(trades, securities, table("security_id string, price_date date", []), kinds)
+    assert sorted(((r.affected_record_id or "", r.flag_type) for r in flags.collect())) == sorted(
+        [("all", kind) for kind in kinds]
+        + [("late", "LATE_ARRIVING_TRADE"), ("", "UNKNOWN_SECURITY"), ("", "INVALID_QUANTITY")]
+    )
+    assert "lambda" not in flags._jdf.queryExecution().optimizedPlan().toString()
+    assert quality.trade_flags(trades, securities, securities, ()).collect() == []
+
+
 def test_split_flags(table):
     actions = table(
         ACTIONS,
